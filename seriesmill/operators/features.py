@@ -51,39 +51,26 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | No
 
 def _medians_within(df: DataFrame, bounds: dict[str, Sequence[float]]) -> dict[str, float]:
     names = list(bounds)
-    counts = df.agg(
-        *[F.count(_double(c)).alias(f"n{i}") for i, c in enumerate(names)],
-        *[F.count_if(_double(c) < bounds[c][0]).alias(f"b{i}") for i, c in enumerate(names)],
-    ).first()
-    cells = F.filter(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(i).alias("i"),
-                    F.when(_double(c).between(*bounds[c]), _double(c)).alias("v"),
-                    F.lit(counts[f"b{i}"]).alias("below"),
-                    F.lit(counts[f"n{i}"]).alias("n"),
-                )
-                for i, c in enumerate(names)
-            ]
-        ),
-        lambda s: s["v"].isNotNull(),
-    )
-    values = (
-        df.select(F.explode(cells).alias("s"))
-        .groupBy("s.i", "s.v", "s.below", "s.n")
+    cells = df.select(F.posexplode(F.array(*[_double(c) for c in names])).alias("i", "v")).where("v IS NOT NULL")
+    low, high = (F.array(*[F.lit(bounds[c][k]) for c in names])[F.col("i")] for k in (0, 1))
+    # values outside the bracket are only counted, per side; values inside keep their identity
+    side = F.when(F.col("v") < low, -1).when(F.col("v") > high, 1).otherwise(0)
+    counts = (
+        cells.withColumn("side", side)
+        .groupBy("i", "side", F.when(F.col("side") == 0, F.col("v")).alias("v"))
         .agg(F.count(F.lit(1)).alias("m"))
     )
-    w = Window.partitionBy("i").orderBy("v")
-    upto = values.withColumn("upto", F.col("below") + F.sum("m").over(w))
+    per_column = Window.partitionBy("i")
+    ranked = counts.withColumns(
+        {"upto": F.sum("m").over(per_column.orderBy("side", "v")), "n": F.sum("m").over(per_column)}
+    )
     # a value covers the zero-based ranks [upto - m, upto)
-    low, high = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
     covers = lambda rank: (F.col("upto") - F.col("m") <= rank) & (rank < F.col("upto"))
     rows = (
-        upto.groupBy("i")
+        ranked.groupBy("i")
         .agg(
-            F.max(F.when(covers(low), F.col("v"))).alias("a"),
-            F.max(F.when(covers(high), F.col("v"))).alias("b"),
+            F.max(F.when(covers(F.floor((F.col("n") - 1) / 2)), F.col("v"))).alias("a"),
+            F.max(F.when(covers(F.floor(F.col("n") / 2)), F.col("v"))).alias("b"),
         )
         .where("a IS NOT NULL AND b IS NOT NULL")
         .collect()
@@ -130,13 +117,12 @@ def standardize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _mean_and_dev(df: DataFrame, exprs: dict[str, Column]) -> tuple[dict, dict]:
+    """Mean and population deviation per expression; a deviation of zero counts as one."""
     names = list(exprs)
-    row = df.agg(
-        *[F.avg(exprs[c]).alias(f"m{i}") for i, c in enumerate(names)],
-        *[F.stddev_pop(exprs[c]).alias(f"d{i}") for i, c in enumerate(names)],
-    ).first()
-    means = {c: row[f"m{i}"] for i, c in enumerate(names)}
-    return means, {c: row[f"d{i}"] or 1.0 for i, c in enumerate(names)}
+    cells = df.select(F.posexplode(F.array(*exprs.values())).alias("i", "v"))
+    rows = cells.groupBy("i").agg(F.avg("v").alias("m"), F.stddev_pop("v").alias("d")).collect()
+    means = {names[r["i"]]: r["m"] for r in rows}
+    return means, {names[r["i"]]: r["d"] or 1.0 for r in rows}
 
 
 def ordinal_codes(df: DataFrame, known: DataFrame, column: str, output: str) -> DataFrame:

@@ -61,7 +61,7 @@ def mentions_region(text: Column, names: Sequence[str] = fixed.DELTA_REGIONS) ->
 
 def table_price(tables: Column, aliases: Sequence[str]) -> Column:
     """Price of an item in the last regional table that shows one."""
-    regional = F.filter(tables, mentions_region)
+    regional = F.filter(tables, lambda t: mentions_region(t))
     shown = F.filter(
         F.transform(regional, lambda t: prices.price_of_item(aliases, t)), lambda p: p.isNotNull()
     )

@@ -219,9 +219,9 @@ def _dressed_pages(spark, sf) -> DataFrame:
     html = F.replace("html", F.lit("</head>"), F.concat(F.when(n % 3 == 0, meta).otherwise(""), F.lit("</head>")))
     tail = F.concat(
         F.when(n % 3 != 2, shown).otherwise(""), F.when(n % 4 != 3, body).otherwise(""),
-        prices_table, F.lit("</body>"),
+        prices_table,
     )
-    return st.table(spark, sf, "pages").select("page_id", "url", F.replace(html, F.lit("</body>"), tail).alias("html"))
+    return st.table(spark, sf, "pages").select("page_id", "url", F.concat(html, tail).alias("html"))
 
 
 def article_date(spark, sf) -> DataFrame:

@@ -7,30 +7,32 @@ that lenient paths are exercised; the rules are repeated in the SQL checks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 FERT_IDS = ("A", "N", "R")
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table; its schema is read from the file footer once, not on every use."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
-def guarded_round(c: Column, places: int = 4) -> Column:
-    """Rounding for comparisons between engines.
+def rounded(df: DataFrame, places: int = 4) -> DataFrame:
+    """Every double column rounded for comparisons between engines.
 
     The last bits of a sum depend on the order of its terms. The cut sits a thousandth off the
     half, so values that are exact halves cannot fall to different sides.
     """
-    scale = float(10**places)
-    return F.floor(c * F.lit(scale) + F.lit(0.501)) / F.lit(scale)
-
-
-def rounded(df: DataFrame, places: int = 4, skip: tuple[str, ...] = ()) -> DataFrame:
-    """Every double column rounded that way."""
-    return df.select(
+    return df.selectExpr(
         *[
-            guarded_round(F.col(c), places).alias(c) if t == "double" and c not in skip else F.col(c)
+            f"floor(`{c}` * 1e{places}D + 0.501D) / 1e{places}D AS `{c}`" if t == "double" else f"`{c}`"
             for c, t in df.dtypes
         ]
     )

@@ -13,6 +13,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     # whole web pages travel to the parser: few rows per Arrow batch keep workers small
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # the panel projection is wide; keep generated code and plan strings in bounds

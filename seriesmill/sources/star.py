@@ -36,7 +36,10 @@ def clean_fact(fact: DataFrame) -> DataFrame:
     rules |= {c: casts.to_number for c in ("price_rice", "price_fert", *fixed.CONTEXT_MEASURES)}
     rules |= {c: casts.strip for c in ("rice_id", "fert_id")}
     return fact.select(
-        *[rules[c](fact[c]).alias(c) if c in rules else fact[c] for c in fact.columns]
+        *[
+            rules[f.name](fact[f.name], f.dataType).alias(f.name) if f.name in rules else fact[f.name]
+            for f in fact.schema.fields
+        ]
     )
 
 
@@ -46,7 +49,7 @@ def clean_dimension(dim: DataFrame) -> DataFrame:
     for field in dim.schema.fields:
         c = dim[field.name]
         if field.name == "date_id":
-            c = casts.to_date(c)
+            c = casts.to_date(c, field.dataType)
         elif isinstance(field.dataType, T.StringType):
             c = casts.strip(c)
         out.append(c.alias(field.name))
