@@ -8,12 +8,16 @@ saved and loaded like any other.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.ml import Transformer
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml import PipelineModel, Transformer
+from pyspark.ml.feature import (
+    OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler,
+)
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SKETCH_ACCURACY = 10_000
+MAX_TEXTS = 10_000
 
 
 def _double(name: str) -> Column:
@@ -34,7 +38,10 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | No
         sides = [max(0.0, 0.5 - margin), min(1.0, 0.5 + margin)]
         sketch = df.agg(
             *[
-                F.percentile_approx(_double(c), sides, SKETCH_ACCURACY).alias(str(i))
+                F.expr(
+                    f"percentile_approx(CAST(`{c}` AS DOUBLE), array({sides[0]}D, {sides[1]}D), "
+                    f"{SKETCH_ACCURACY}) AS `{i}`"
+                )
                 for i, c in enumerate(todo)
             ]
         ).first()
@@ -51,8 +58,9 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | No
 
 def _medians_within(df: DataFrame, bounds: dict[str, Sequence[float]]) -> dict[str, float]:
     names = list(bounds)
-    cells = df.select(F.posexplode(F.array(*[_double(c) for c in names])).alias("i", "v")).where("v IS NOT NULL")
-    low, high = (F.array(*[F.lit(bounds[c][k]) for c in names])[F.col("i")] for k in (0, 1))
+    doubles = ", ".join(f"CAST(`{c}` AS DOUBLE)" for c in names)
+    cells = df.selectExpr(f"posexplode(array({doubles})) AS (i, v)").where("v IS NOT NULL")
+    low, high = (F.lit([float(bounds[c][k]) for c in names])[F.col("i")] for k in (0, 1))
     # values outside the bracket are only counted, per side; values inside keep their identity
     side = F.when(F.col("v") < low, -1).when(F.col("v") > high, 1).otherwise(0)
     counts = (
@@ -78,22 +86,27 @@ def _medians_within(df: DataFrame, bounds: dict[str, Sequence[float]]) -> dict[s
     return {names[r["i"]]: (r["a"] + r["b"]) / 2 for r in rows}
 
 
-def frequent_values(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
-    """Most frequent text per column, ties to the smallest; counts combine before the shuffle."""
-    out: dict[str, str | None] = {c: None for c in columns}
-    if not columns:
-        return out
+def text_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows per column and text (``c``, ``v``, ``n``); counts combine before the shuffle."""
     cells = F.array(
         *[F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("string").alias("v")) for c in columns]
     )
-    counts = (
+    return (
         df.select(F.explode(cells).alias("s"))
         .where("s.v IS NOT NULL")
         .groupBy("s.c", "s.v")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    best = counts.groupBy("c").agg(F.min(F.struct((-F.col("n")).alias("n"), "v")).alias("b"))
-    return out | {r["c"]: r["b"]["v"] for r in best.collect()}
+
+
+def frequent_values(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
+    """Most frequent text per column, ties to the smallest."""
+    out: dict[str, str | None] = {c: None for c in columns}
+    if not columns:
+        return out
+    smallest = F.min(F.struct((-F.col("n")).alias("n"), "v"))
+    rows = text_counts(df, columns).groupBy("c").agg(smallest.alias("b")).collect()
+    return out | {r["c"]: r["b"]["v"] for r in rows}
 
 
 def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -112,14 +125,14 @@ def impute_mode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def standardize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Zero mean and unit population deviation; a constant column is only centred."""
-    means, devs = _mean_and_dev(df, {c: _double(c) for c in columns})
+    means, devs = _mean_and_dev(df, {c: f"CAST(`{c}` AS DOUBLE)" for c in columns})
     return df.withColumns({c: (_double(c) - F.lit(means[c])) / F.lit(devs[c]) for c in columns})
 
 
-def _mean_and_dev(df: DataFrame, exprs: dict[str, Column]) -> tuple[dict, dict]:
-    """Mean and population deviation per expression; a deviation of zero counts as one."""
+def _mean_and_dev(df: DataFrame, exprs: dict[str, str]) -> tuple[dict, dict]:
+    """Mean and population deviation per SQL expression; a deviation of zero counts as one."""
     names = list(exprs)
-    cells = df.select(F.posexplode(F.array(*exprs.values())).alias("i", "v"))
+    cells = df.selectExpr(f"posexplode(array({', '.join(exprs.values())})) AS (i, v)")
     rows = cells.groupBy("i").agg(F.avg("v").alias("m"), F.stddev_pop("v").alias("d")).collect()
     means = {names[r["i"]]: r["m"] for r in rows}
     return means, {names[r["i"]]: r["d"] or 1.0 for r in rows}
@@ -148,35 +161,71 @@ def _hot_stages(known: DataFrame, columns: Sequence[str], suffix: str = "_hot")
     indexer = StringIndexer(
         inputCols=list(columns), outputCols=index, handleInvalid="keep", stringOrderType="alphabetAsc"
     ).fit(known)
-    hot = OneHotEncoder(
-        inputCols=index, outputCols=[f"{c}{suffix}" for c in columns], dropLast=True
-    ).fit(indexer.transform(known))
-    return [indexer, hot]
+    return [indexer, _hot_encoder(indexer.transform(known), columns, suffix)]
+
+
+def _hot_encoder(indexed: DataFrame, columns: Sequence[str], suffix: str = "_hot") -> Transformer:
+    # widths come from the column metadata, no data is read
+    return OneHotEncoder(
+        inputCols=[f"{c}{suffix}_ix" for c in columns],
+        outputCols=[f"{c}{suffix}" for c in columns],
+        dropLast=True,
+    ).fit(indexed)
 
 
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+@dataclass(frozen=True)
+class Learned:
+    """What the training rows say about the features: medians, and texts by falling frequency."""
+
+    medians: dict[str, float]
+    texts: dict[str, list[str]]
+
+    @property
+    def modes(self) -> dict[str, str]:
+        return {c: found[0] for c, found in self.texts.items()}
+
+
+def learn(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> Learned:
+    """Constants shared by every encoding; features without a single value are left out.
+
+    Each known text becomes a model input, so their number is limited by the model, and a column
+    beyond ``MAX_TEXTS`` texts is an error.
+    """
+    medians = {c: m for c, m in exact_medians(train, numeric).items() if m is not None}
+    texts: dict[str, list[str]] = {}
+    if categorical:
+        counts = text_counts(train, categorical)
+        limit = MAX_TEXTS * len(categorical)
+        rows = counts.orderBy("c", F.col("n").desc(), "v").limit(limit + 1).collect()
+        for r in rows:
+            texts.setdefault(r["c"], []).append(r["v"])
+        wide = [c for c, found in texts.items() if len(found) > MAX_TEXTS]
+        if wide or len(rows) > limit:
+            raise ValueError(f"too many distinct texts for encoding: {wide or list(texts)}")
+    return Learned(medians, {c: texts[c] for c in categorical if c in texts})
+
+
 def preprocessing_stages(
     train: DataFrame,
-    numeric: Sequence[str],
-    categorical: Sequence[str],
+    learned: Learned,
     encoding: str = "onehot",
     scale: bool = False,
     output: str = "features",
 ) -> list[Transformer]:
-    """Fitted stages from raw features to one vector column; columns not named are unused.
+    """Fitted stages from raw features to one vector column; columns not learned are unused.
 
     Numbers: median for null, optional scaling. Text: most frequent value for null, then
-    indicators (``onehot``) or codes (``ordinal``). Features without a single value are left out.
+    indicators (``onehot``) or codes (``ordinal``).
     """
-    medians = {c: m for c, m in exact_medians(train, numeric).items() if m is not None}
-    modes = {c: m for c, m in frequent_values(train, categorical).items() if m is not None}
+    modes = learned.modes
     text = {c: f"COALESCE(CAST(`{c}` AS STRING), {_quoted(m)})" for c, m in modes.items()}
-    number = {c: f"COALESCE(CAST(`{c}` AS DOUBLE), {m!r}D)" for c, m in medians.items()}
+    number = {c: f"COALESCE(CAST(`{c}` AS DOUBLE), {m!r}D)" for c, m in learned.medians.items()}
     if scale and number:
-        means, devs = _mean_and_dev(train, {c: F.expr(e) for c, e in number.items()})
+        means, devs = _mean_and_dev(train, number)
         number = {c: f"({e} - {means[c]!r}D) / {devs[c]!r}D" for c, e in number.items()}
     made = {f"{c}__x": e for c, e in {**number, **text}.items()}
     fill = SQLTransformer(
@@ -186,18 +235,22 @@ def preprocessing_stages(
     inputs = [f"{c}__x" for c in number]
     if text:
         names = [f"{c}__x" for c in text]
-        encoders = _hot_stages(fill.transform(train), names)
+        labels = [sorted(found) for found in learned.texts.values()]
+        # one indexer per column: the multi-column constructor pads shorter label lists with nulls
+        stages += [
+            StringIndexerModel.from_labels(known, n, f"{n}_hot_ix", handleInvalid="keep")
+            for n, known in zip(names, labels)
+        ]
         if encoding == "onehot":
-            stages += encoders
+            stages.append(_hot_encoder(PipelineModel(stages).transform(train), names))
             inputs += [f"{n}_hot" for n in names]
         elif encoding == "ordinal":
-            indexer = encoders[0]
             # plain numbers, -1 for unseen text: trees may then split on the order of the codes
             codes = ", ".join(
-                f"CASE WHEN `{n}_hot_ix` = {len(labels)} THEN -1D ELSE `{n}_hot_ix` END AS `{n}_code`"
-                for n, labels in zip(names, indexer.labelsArray)
+                f"CASE WHEN `{n}_hot_ix` = {len(known)} THEN -1D ELSE `{n}_hot_ix` END AS `{n}_code`"
+                for n, known in zip(names, labels)
             )
-            stages += [indexer, SQLTransformer(statement=f"SELECT *, {codes} FROM __THIS__")]
+            stages.append(SQLTransformer(statement=f"SELECT *, {codes} FROM __THIS__"))
             inputs += [f"{n}_code" for n in names]
         else:
             raise ValueError("encoding must be 'onehot' or 'ordinal'")

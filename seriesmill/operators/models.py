@@ -92,12 +92,11 @@ def recipes(task: str, settings: ModelSettings, names: Sequence[str] | None = No
 
 def fit_model(
     train: DataFrame, recipe: Recipe, r: roles.Roles, label: str,
-    prepared: list[Transformer] | None = None,
+    learned: features.Learned | None = None,
 ) -> PipelineModel:
     """Preprocessing and estimator fitted on ``train`` as one savable pipeline."""
-    prep = prepared or features.preprocessing_stages(
-        train, r.numeric, r.categorical, recipe.encoding, recipe.scale
-    )
+    learned = learned or features.learn(train, r.numeric, r.categorical)
+    prep = features.preprocessing_stages(train, learned, recipe.encoding, recipe.scale)
     data = PipelineModel(prep).transform(train).select("features", F.col(label).cast("double"))
     data.persist()
     try:
@@ -139,20 +138,19 @@ def evaluate_horizon(
 def _score_task(panel, task, horizon, chosen: dict[str, Recipe], split: tuple) -> list[tuple]:
     r, label = roles.infer_roles(panel), roles.label_name(task, horizon)
     matrix = settle(roles.training_matrix(panel, horizon, task, r), f"matrix-{task}-h{horizon}")
-    bounds = folds.fold_bounds(folds.expanding_folds(matrix, r.date, *split))
+    split_months = folds.expanding_folds(matrix, r.date, *split)
+    bounds = folds.fold_bounds(split_months)
+    if task == "classification":
+        usable = _folds_with_two_classes(matrix, split_months, label, r.date)
+        bounds = [b for b in bounds if b[0] in usable]
     month = F.trunc(r.date, "MM")
     out = []
     for fold, last_train, first, last in bounds:
         train = matrix.where(month <= F.lit(last_train))
         held = matrix.where(month.between(F.lit(first), F.lit(last)))
-        if task == "classification" and not (_two_classes(train, label) and _two_classes(held, label)):
-            continue
-        prepared: dict[tuple, list[Transformer]] = {}
+        learned = features.learn(train, r.numeric, r.categorical)
         for name, recipe in chosen.items():
-            kind = (recipe.encoding, recipe.scale)
-            if kind not in prepared:
-                prepared[kind] = features.preprocessing_stages(train, r.numeric, r.categorical, *kind)
-            scored = fit_model(train, recipe, r, label, prepared[kind]).transform(held)
+            scored = fit_model(train, recipe, r, label, learned).transform(held)
             if task == "regression":
                 m = metrics.regression_metrics(scored, label, "prediction").first()
                 out.append((m["rmse"], m["mae"], m["mape"], m["r2"], task, horizon, name, fold, None))
@@ -162,6 +160,19 @@ def _score_task(panel, task, horizon, chosen: dict[str, Recipe], split: tuple) -
     return out
 
 
+def _folds_with_two_classes(matrix, split_months, label: str, date: str) -> set[int]:
+    """Folds whose training and validation parts both hold two classes; one job for all folds."""
+    classes = (
+        folds.with_folds(matrix.select(date, label), split_months, date)
+        .groupBy("fold", "role")
+        .agg(F.countDistinct(label).alias("n"))
+        .where("n >= 2")
+        .groupBy("fold")
+        .agg(F.count(F.lit(1)).alias("parts"))
+    )
+    return {r["fold"] for r in classes.where("parts = 2").collect()}
+
+
 def _two_classes(df: DataFrame, label: str) -> bool:
     return df.agg(F.countDistinct(label)).first()[0] >= 2
 

@@ -334,9 +334,9 @@ def _fit_scores(spark, sf, task: str) -> DataFrame:
     matrix = settle(roles.training_matrix(p, 1, task, r), "fit")
     cut = F.add_months(F.lit(matrix.agg(F.max("date_id")).first()[0]), -6)
     train, held = matrix.where(F.col("date_id") <= cut), matrix.where(F.col("date_id") > cut)
-    out = None
+    out, learned = None, features.learn(train, r.numeric, r.categorical)
     for name, recipe in models.recipes(task, SMALL).items():
-        scored = models.fit_model(train, recipe, r, label).transform(held)
+        scored = models.fit_model(train, recipe, r, label, learned).transform(held)
         if task == "regression":
             m = metrics.regression_metrics(scored, label, "prediction")
         else:
