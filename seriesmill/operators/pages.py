@@ -106,18 +106,20 @@ def with_position(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     """Position 1..n in the given order, without moving all rows to one task.
 
     The sorted rows are written to the shared folder with their partition and offset, so a retry
-    cannot change them; the per-partition row counts then turn offsets into positions.
+    cannot change them; the per-partition row counts then turn offsets into positions. Rows that
+    are equal in the order columns may be spread over several partitions of the sort.
     """
-    sorted_rows = df.orderBy(*order).withColumn("__id", F.monotonically_increasing_id())
-    placed = settle(sorted_rows, "sorted")
+    spread = df.withColumn("__tie", F.monotonically_increasing_id())
+    sorted_rows = spread.orderBy(*order, "__tie").withColumn("__id", F.monotonically_increasing_id())
+    placed = settle(sorted_rows.drop("__tie"), "sorted")
     part, offset = F.shiftright("__id", 33), F.col("__id").bitwiseAND((1 << 33) - 1)
     sizes = placed.groupBy(part.alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
-    # one row per partition of the sort
+    # one row per partition of the sort, so at most spark.sql.shuffle.partitions rows
     earlier = Window.partitionBy(F.lit(1)).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("__p", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__s"))
     return (
         placed.withColumn("__p", part)
-        .join(starts, "__p")
+        .join(F.broadcast(starts), "__p")
         .withColumn(name, F.col("__s") + offset + 1)
         .drop("__p", "__s", "__id")
     )

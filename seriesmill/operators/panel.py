@@ -204,17 +204,15 @@ def densify_months(monthly: DataFrame, spec: PanelSpec = PRICE_PANEL) -> DataFra
     )
 
 
-def latest_rows(df: DataFrame, keys: Sequence[str], date: str, tie: Sequence[str] = ()) -> DataFrame:
+def latest_rows(df: DataFrame, keys: Sequence[str], date: str, tie: Sequence[str]) -> DataFrame:
     """One row per key: the first row (by ``tie``) of the latest date.
 
-    Works on raw rows: the latest date is a combining aggregate, and only rows of that date meet
-    again. Without ``tie`` all rows of the latest date are kept.
+    Works on raw rows. Two aggregates, first per key and date, then per key, both combined before
+    the shuffle: the rows of a hot key never meet in one task, and nothing is joined.
     """
-    last = df.groupBy(*keys).agg(F.max(date).alias("__last"))
-    hits = df.join(last, list(keys)).where(F.col(date) == F.col("__last")).drop("__last")
-    if not tie:
-        return hits
-    cols = [c for c in df.columns if c not in keys]
-    order = F.struct(*tie)
-    packed = hits.groupBy(*keys).agg(F.min_by(F.struct(*cols), order).alias("__r"))
-    return packed.select(*keys, *[F.col(f"__r.{c}") for c in cols]).select(*df.columns)
+    cols = [c for c in df.columns if c not in (*keys, date)]
+    per_day = df.groupBy(*keys, date).agg(F.min_by(F.struct(*cols), F.struct(*tie)).alias("__r"))
+    last = per_day.groupBy(*keys).agg(
+        F.max(date).alias(date), F.max_by("__r", F.col(date)).alias("__r")
+    )
+    return last.select(*keys, date, "__r.*").select(*df.columns)

@@ -30,19 +30,22 @@ def refresh(
     if name_filter:
         reader = reader.option("pathGlobFilter", name_filter)
     feed = reader.load(folder)
-    stored = T.StructType(feed.schema.fields).add("batch", "long").add("day", "date")
+    # two partition columns under names of their own
+    stored = T.StructType(feed.schema.fields).add("ingest_batch", "long").add("ingest_day", "date")
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.withColumn("day", F.col(day).cast("date")).dropDuplicates(["day", *keys])
+        rows = batch.withColumn("ingest_day", F.col(day).cast("date"))
+        identity = ["ingest_day", *keys]
+        fresh = rows.dropDuplicates(identity)
         if batch_id > 0:
-            days = [r[0] for r in batch.select(F.col(day).cast("date")).distinct().collect()]
+            days = [r[0] for r in rows.select("ingest_day").distinct().collect()]
             known = spark.read.schema(stored).parquet(target).where(
-                (F.col("batch") < batch_id) & F.col("day").isin(days)
+                (F.col("ingest_batch") < batch_id) & F.col("ingest_day").isin(days)
             )
-            fresh = fresh.join(known.select("day", *keys), ["day", *keys], "left_anti")
+            fresh = fresh.join(known.select(*identity), identity, "left_anti")
         # one folder per batch: a repeated batch replaces itself instead of adding twice
-        out = f"{target.rstrip('/')}/batch={batch_id}"
-        fresh.write.mode("overwrite").partitionBy("day").parquet(out)
+        out = f"{target.rstrip('/')}/ingest_batch={batch_id}"
+        fresh.write.mode("overwrite").partitionBy("ingest_day").parquet(out)
 
     query = (
         feed.writeStream.foreachBatch(merge)
@@ -51,4 +54,4 @@ def refresh(
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(stored).parquet(target).drop("batch", "day")
+    return spark.read.schema(stored).parquet(target).drop("ingest_batch", "ingest_day")
