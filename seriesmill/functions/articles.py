@@ -6,36 +6,37 @@ from pyspark.sql import Column, functions as F
 
 from seriesmill import fixed
 
-# flags: any case, Unicode letters and spaces, only a line feed ends a line
-INDEX_MOVE = f"(?iuUd){fixed.INDEX_MOVE}"
-PERCENT = f"(?U){fixed.PERCENT}"
+# flags: any case, Unicode letters, only a line feed ends a line; \\s means every Unicode space
+_SPACE = r"[\s\u001c-\u001f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+INDEX_MOVE = f"(?iud){fixed.INDEX_MOVE}".replace(r"\s", _SPACE)
+PERCENT = fixed.PERCENT.replace(r"\s", _SPACE)
 
 
 def _blank_to_null(c: Column) -> Column:
     return F.when(c != "", c)
 
 
-def index_move(title: Column, full_text: Column) -> tuple[Column, Column]:
+def index_hit(full_text: Column) -> Column:
+    """First stretch from keyword over movement to a percent number; empty when there is none."""
+    return F.regexp_extract(full_text, INDEX_MOVE, 0)
+
+
+def trend_and_amount(hit: Column, title: Column) -> tuple[Column, Column]:
     """Trend word and percent value (dot as decimal sign) of an article.
 
-    The whole text is searched for keyword, movement and number; without a hit the title's
-    own percent value counts, and its trend comes from the words in the title.
+    Both come from the hit; without one the title's own percent value counts, and its trend comes
+    from the words in the title. ``hit`` should be a column of its own, it is used several times.
     """
-    word = _blank_to_null(F.lower(F.regexp_extract(full_text, INDEX_MOVE, 2)))
-    value = _blank_to_null(F.regexp_extract(full_text, INDEX_MOVE, 3))
-    title_value = _blank_to_null(F.regexp_extract(title, PERCENT, 1))
+    word = F.lower(F.regexp_extract(hit, INDEX_MOVE, 2))
+    title_value = F.regexp_extract(title, PERCENT, 1)
     low_title = F.lower(title)
     up, down = F.lit(fixed.UP.lower()), F.lit(fixed.DOWN.lower())
-    trend = (
-        F.when(word == up, fixed.UP)
-        .when(word == down, fixed.DOWN)
-        .when(word.isNotNull(), fixed.FLAT)
-        .when(title_value.isNotNull() & F.contains(low_title, up), fixed.UP)
-        .when(title_value.isNotNull() & F.contains(low_title, down), fixed.DOWN)
-        .otherwise(fixed.UNKNOWN)
-    )
-    amount = F.replace(F.when(word.isNotNull(), value).otherwise(title_value), F.lit(","), F.lit("."))
-    return trend, amount
+    title_trend = F.when(F.contains(low_title, up), fixed.UP).when(F.contains(low_title, down), fixed.DOWN)
+    trend = F.when(
+        hit != "", F.when(word == up, fixed.UP).when(word == down, fixed.DOWN).otherwise(fixed.FLAT)
+    ).otherwise(F.coalesce(F.when(title_value != "", title_trend), F.lit(fixed.UNKNOWN)))
+    value = F.when(hit != "", F.regexp_extract(hit, INDEX_MOVE, 3)).otherwise(_blank_to_null(title_value))
+    return trend, F.replace(value, F.lit(","), F.lit("."))
 
 
 def article_day(meta: Column, shown: Column, has_meta: Column) -> Column:

@@ -42,26 +42,37 @@ def within(c: Column, low: float, high: float) -> Column:
     return F.when(c.between(low, high), c)
 
 
-def price_after(keyword: str, text: Column) -> Column:
-    """First price after a keyword pattern as ``"low"`` or ``"low-high"``, dots removed.
+# \s of the patterns means every Unicode space; spelled out, which is far faster than the flag
+_SPACE = r"[\s\u001c-\u001f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
+
+def _pattern(keyword: str) -> str:
+    plain = rf"(?iu){keyword}[^0-9]*?({fixed.AMOUNT})(?:\s*[-–—]\s*({fixed.AMOUNT}))?"
+    return plain.replace(r"\s", _SPACE)
+
+
+def price_hit(alias: str, text: Column) -> Column:
+    """The first stretch of text from a keyword to its price; empty when there is none."""
+    return F.regexp_extract(text, _pattern(alias), 0)
+
+
+def hit_numbers(alias: str, hit: Column) -> tuple[Column, Column]:
+    """First and second number of a hit, dots removed; empty where there is none."""
+    low, high = (F.replace(F.regexp_extract(hit, _pattern(alias), g), F.lit(".")) for g in (1, 2))
+    return low, high
+
+
+def price_of_hit(hit: Column, first: Column, second: Column, text: Column) -> Column:
+    """Price of a hit as ``"low"`` or ``"low-high"``.
 
     The number of a fertilizer formula is not a price; then the next dotted amount after the
-    hit counts. A low end outside the accepted bounds gives null.
+    hit counts. A low end outside the accepted bounds gives null. Only the formula case looks at
+    the long text again. Hit and numbers should be columns of their own, they are used often.
     """
-    pattern = (
-        rf"(?iuU){keyword}[^0-9]*?({fixed.AMOUNT})(?:\s*[-–—]\s*({fixed.AMOUNT}))?"
-    )
-    hit = F.regexp_extract(text, pattern, 0)
-    first = F.replace(F.regexp_extract(text, pattern, 1), F.lit("."))
-    second = F.replace(F.regexp_extract(text, pattern, 2), F.lit("."))
     # the hit is the leftmost match, so its first occurrence ends where the search ended
     rest = F.substr(text, F.instr(text, hit) + F.length(hit))
     later = F.replace(F.regexp_extract(rest, rf"({fixed.DOTTED_AMOUNT})", 1), F.lit("."))
     low = F.when(first == fixed.FORMULA_NUMBER, later).otherwise(first)
     accepted = low.try_cast("int").between(fixed.PRICE_LOW, fixed.PRICE_HIGH)
-    return F.when(accepted, F.when(second != "", F.concat_ws("-", low, second)).otherwise(low))
-
-
-def price_of_item(aliases: Sequence[str], text: Column) -> Column:
-    """Price under any alias of an item; a later alias wins over an earlier one."""
-    return F.coalesce(*[price_after(alias, text) for alias in reversed(aliases)])
+    span = F.when(second != "", F.concat_ws("-", low, second)).otherwise(low)
+    return F.when((hit != "") & accepted, span)

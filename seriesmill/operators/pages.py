@@ -33,6 +33,15 @@ def title_and_text() -> tuple[Column, Column]:
     return title, F.concat(title, F.lit(". "), F.col("summary"), F.lit(" "), body)
 
 
+def with_index_move(
+    df: DataFrame, title: str, full_text: Column, trend: str = "trend", amount: str = "amount"
+) -> DataFrame:
+    """Add trend and value of price-index texts; the long text is searched once."""
+    searched = df.withColumn("__hit", articles.index_hit(full_text))
+    word, value = articles.trend_and_amount(F.col("__hit"), F.col(title))
+    return searched.withColumns({trend: word, amount: value}).drop("__hit")
+
+
 def index_articles(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Article records of price-index pages; pages without HTML give no record.
 
@@ -40,18 +49,38 @@ def index_articles(pages: DataFrame, url: str = "url", html: str = "html") -> Da
     """
     texts = page_texts(pages.where(F.col(html).isNotNull()), html)
     title, full = title_and_text()
-    rows = texts.withColumn("tieu_de", title).withColumn("__full", full)
-    trend, amount = articles.index_move(F.col("tieu_de"), F.col("__full"))
-    return rows.select(
-        "tieu_de",
-        articles.article_day(F.col("meta_date"), F.col("shown_date"), F.col("has_meta")).alias("ngay_thang"),
-        trend.alias("xu_huong_bien_dong"),
-        amount.alias("muc_tang_giam"),
-        F.lit("%").alias("don_vi"),
-        F.col(url).alias("url"),
+    rows = with_index_move(
+        texts.withColumn("tieu_de", title), "tieu_de", full, "xu_huong_bien_dong", "muc_tang_giam"
+    )
+    day = articles.article_day(F.col("meta_date"), F.col("shown_date"), F.col("has_meta"))
+    return rows.withColumns({"ngay_thang": day, "don_vi": F.lit("%")}).select(
+        *[F.col(url).alias("url") if c == "url" else F.col(c) for c in fixed.ARTICLE_FIELDS]
     )
 
 
+def with_text_prices(
+    df: DataFrame, text: str, items: Mapping[str, Sequence[str]]
+) -> DataFrame:
+    """Add a price column per item (column name to aliases); each alias searches the text once.
+
+    A later alias wins over an earlier one. Hits and numbers are plain columns on the way, so the
+    optimizer keeps them apart and no search is repeated.
+    """
+    aliases = [(f"__{i}_{j}", a) for i, names in enumerate(items.values()) for j, a in enumerate(names)]
+    hits = {f"{at}h": prices.price_hit(a, F.col(text)) for at, a in aliases}
+    numbers = {}
+    for at, a in aliases:
+        numbers[f"{at}a"], numbers[f"{at}b"] = prices.hit_numbers(a, F.col(f"{at}h"))
+    found = {}
+    for i, (name, names) in enumerate(items.items()):
+        options = [
+            prices.price_of_hit(*[F.col(f"__{i}_{j}{part}") for part in "hab"], F.col(text))
+            for j in range(len(names))
+        ]
+        found[name] = F.coalesce(*reversed(options))
+    return df.withColumns(hits).withColumns(numbers).withColumns(found).drop(*hits, *numbers)
+
+
 def mentions_region(text: Column, names: Sequence[str] = fixed.DELTA_REGIONS) -> Column:
     out = F.lit(False)
     for name in names:
@@ -62,10 +91,19 @@ def mentions_region(text: Column, names: Sequence[str] = fixed.DELTA_REGIONS) ->
 def table_price(tables: Column, aliases: Sequence[str]) -> Column:
     """Price of an item in the last regional table that shows one."""
     regional = F.filter(tables, lambda t: mentions_region(t))
-    shown = F.filter(
-        F.transform(regional, lambda t: prices.price_of_item(aliases, t)), lambda p: p.isNotNull()
-    )
-    return F.try_element_at(shown, F.lit(-1))
+
+    def searched(t: Column) -> Column:
+        return F.struct(t.alias("text"), F.array(*[prices.price_hit(a, t) for a in aliases]).alias("hits"))
+
+    def priced(s: Column) -> Column:
+        options = [
+            prices.price_of_hit(s["hits"][j], *prices.hit_numbers(a, s["hits"][j]), s["text"])
+            for j, a in enumerate(aliases)
+        ]
+        return F.coalesce(*reversed(options))
+
+    shown = F.transform(F.transform(regional, lambda t: searched(t)), lambda s: priced(s))
+    return F.try_element_at(F.filter(shown, lambda p: p.isNotNull()), F.lit(-1))
 
 
 def item_prices(
@@ -73,18 +111,22 @@ def item_prices(
 ) -> DataFrame:
     """A map of item prices per page.
 
-    Regional tables come first; the whole page counts only where no table gave any price.
+    Regional tables come first; the whole page counts only where no table gave any price. Each
+    long text is searched once per alias.
     """
+    items = list(aliases.items())
     found = texts.withColumns(
-        {f"__t{i}": table_price(F.col("tables"), a) for i, a in enumerate(aliases.values())}
+        {f"__t{i}": table_price(F.col("tables"), names) for i, (_, names) in enumerate(items)}
     )
-    in_table = F.coalesce(*[F.col(f"__t{i}") for i in range(len(aliases))]).isNotNull()
+    in_table = F.coalesce(*[F.col(f"__t{i}") for i in range(len(items))]).isNotNull()
+    page = F.when(~in_table, F.col("page_text"))
+    whole = {f"__w{i}": names for i, (_, names) in enumerate(items)}
+    searched = with_text_prices(found.withColumn("__page", page), "__page", whole)
     entries = []
-    for i, (item, names) in enumerate(aliases.items()):
-        anywhere = F.when(~in_table, prices.price_of_item(names, F.col("page_text")))
-        entries += [F.lit(item), F.coalesce(F.col(f"__t{i}"), anywhere)]
+    for i, (item, _) in enumerate(items):
+        entries += [F.lit(item), F.coalesce(F.col(f"__t{i}"), F.col(f"__w{i}"))]
     keep = [c for c in texts.columns if c not in ("tables", "page_text")]
-    return found.select(*keep, F.create_map(*entries).alias("data"))
+    return searched.select(*keep, F.create_map(*entries).alias("data"))
 
 
 def fertilizer_articles(
@@ -107,9 +149,10 @@ def with_position(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
 
     The sorted rows are written to the shared folder with their partition and offset, so a retry
     cannot change them; the per-partition row counts then turn offsets into positions. Rows that
-    are equal in the order columns may be spread over several partitions of the sort.
+    are equal in the order columns may be spread over several partitions of the sort. The rows
+    are written before the sort too, because the sort reads its input twice, once for sampling.
     """
-    spread = df.withColumn("__tie", F.monotonically_increasing_id())
+    spread = settle(df, "unsorted").withColumn("__tie", F.monotonically_increasing_id())
     sorted_rows = spread.orderBy(*order, "__tie").withColumn("__id", F.monotonically_increasing_id())
     placed = settle(sorted_rows.drop("__tie"), "sorted")
     part, offset = F.shiftright("__id", 33), F.col("__id").bitwiseAND((1 << 33) - 1)

@@ -321,7 +321,7 @@ def forecast_calendar(spark, sf) -> DataFrame:
 
 
 def forecast_export(spark, sf) -> DataFrame:
-    return st.rounded(forecast.export(forecast.last_value_forecast(_panel(spark, sf))), PRICE_PLACES)
+    return forecast.export(forecast.last_value_forecast(st.rounded(_panel(spark, sf), PRICE_PLACES)))
 
 
 # --- models --------------------------------------------------------------------------

@@ -373,8 +373,8 @@ f AS (SELECT *, CAST(date_id + to_months(h) AS DATE) AS fm FROM panel, (VALUES (
 SELECT strftime(date_id, '%m/%Y') AS thang_goc_du_bao, strftime(fm, '%m/%Y') AS thang_du_bao,
   CAST(year(fm) AS INTEGER) AS nam_du_bao, CAST(month(fm) AS INTEGER) AS thang_so_du_bao, h AS so_thang_du_bao,
   region_id, region_name, rice_id, rice_name, rice_group, {rnd("price_rice", 3)} AS gia_hien_tai,
-  {rnd("round(price_rice, 2)", 3)} AS gia_du_bao,
-  CASE WHEN price_rice_diff_1 > 0 THEN 'Tăng' ELSE 'Giảm/Đi ngang' END AS xu_huong_du_bao
+  CAST(round(CAST({rnd("price_rice", 3)} AS DECIMAL(18, 3)), 2) AS DOUBLE) AS gia_du_bao,
+  CASE WHEN {rnd("price_rice_diff_1", 3)} > 0 THEN 'Tăng' ELSE 'Giảm/Đi ngang' END AS xu_huong_du_bao
 FROM f"""
 
 GAPPY_LINES = """

@@ -249,8 +249,8 @@ def trend_extract(spark, sf) -> DataFrame:
     body = F.concat(F.lit("Theo báo cáo, chỉ số giá tiêu dùng "), word, F.lit(" nhẹ "), value, F.lit(" %"))
     title = F.when(key % 5 == 0, F.concat(F.lit("Giá cả Tăng "), value, F.lit("%"))).otherwise("Tin thị trường")
     rows = st.table(spark, sf, "orders").select("o_orderkey", title.alias("title"), body.alias("body"))
-    trend, amount = articles.index_move(F.col("title"), F.concat_ws(". ", "title", "body"))
-    return rows.select("o_orderkey", trend.alias("trend"), amount.alias("amount"))
+    found = pages.with_index_move(rows, "title", F.concat_ws(". ", "title", "body"))
+    return found.select("o_orderkey", "trend", "amount")
 
 
 def _article_urls(spark, sf) -> DataFrame:
@@ -286,9 +286,8 @@ def price_extract(spark, sf) -> DataFrame:
         F.lit(" đồng; KALI bột "), F.when(key % 7 == 0, "chưa có").otherwise(span),
     )
     rows = st.table(spark, sf, "orders").select("o_orderkey", text.alias("text"))
-    found = {f"price_{i}": prices.price_of_item(fixed.FERT_ALIASES[item], F.col("text"))
-             for i, item in enumerate(fixed.FERT_ITEMS[:2])}
-    return rows.select("o_orderkey", *[c.alias(n) for n, c in found.items()])
+    items = {f"price_{i}": fixed.FERT_ALIASES[item] for i, item in enumerate(fixed.FERT_ITEMS[:2])}
+    return pages.with_text_prices(rows, "text", items).drop("text")
 
 
 QUERIES = [

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from seriesmill import fixed
 from seriesmill.functions import articles, casts, dates, prices
+from seriesmill.operators import pages
 
 
 def one(spark, schema, values, expr):
@@ -52,8 +53,8 @@ def test_ranges_and_bounds(spark):
     ],
 )
 def test_price_after_keyword(spark, item, text, found):
-    expr = prices.price_of_item(fixed.FERT_ALIASES[item], F.col("t"))
-    assert one(spark, "t string", [text], expr) == [found]
+    df = spark.createDataFrame([(text,)], "t string")
+    assert pages.with_text_prices(df, "t", {"p": fixed.FERT_ALIASES[item]}).first()["p"] == found
 
 
 @pytest.mark.parametrize(
@@ -70,7 +71,8 @@ def test_price_after_keyword(spark, item, text, found):
 )
 def test_index_move(spark, title, text, expected):
     rows = spark.createDataFrame([(title, text)], "title string, text string")
-    assert tuple(rows.select(*articles.index_move(F.col("title"), F.col("text"))).first()) == expected
+    got = pages.with_index_move(rows, "title", F.concat_ws(". ", "title", "text"))
+    assert tuple(got.select("trend", "amount").first()) == expected
 
 
 def test_signed_change_and_label(spark):
