@@ -72,7 +72,7 @@ def price_of_hit(hit: Column, first: Column, second: Column, text: Column) -> Co
     # the hit is the leftmost match, so its first occurrence ends where the search ended
     rest = F.substr(text, F.instr(text, hit) + F.length(hit))
     later = F.replace(F.regexp_extract(rest, rf"({fixed.DOTTED_AMOUNT})", 1), F.lit("."))
-    low = F.when(first == fixed.FORMULA_NUMBER, later).otherwise(first)
+    low = F.when(first == fixed.FORMULA_NUMBER, later).when(first != "", first)
     accepted = low.try_cast("int").between(fixed.PRICE_LOW, fixed.PRICE_HIGH)
     span = F.when(second != "", F.concat_ws("-", low, second)).otherwise(low)
     return F.when((hit != "") & accepted, span)
