@@ -161,8 +161,10 @@ def whole_copies(cells: DataFrame, sources: DataFrame, work: Work, most: int = M
     return c
 
 
-def mix(docs: DataFrame, work: Work, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, source, text): doc_id, source, size, source_size, target, copies, taken.
+def mix(
+    docs: DataFrame, work: Work, weights=WEIGHTS, share: float = SHARE, most: int = MOST, extra: tuple[Column, ...] = ()
+) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, source, text): doc_id, source, size, source_size, target, copies, taken, and ``extra``.
 
     A null text has size 0, null is a source of its own and the last in order, texts without words
     are never taken, sources without words have target 0, rows that repeat are rows of their own.
@@ -170,7 +172,7 @@ def mix(docs: DataFrame, work: Work, weights=WEIGHTS, share: float = SHARE, most
     An empty table gives no rows.
     """
     sized = work.settle(
-        docs.select("doc_id", "source", _key(F.col("source")).alias("key"), word_count(F.col("text")).alias("size")), "sizes"
+        docs.select("doc_id", "source", _key(F.col("source")).alias("key"), word_count(F.col("text")).alias("size"), *extra), "sizes"
     )
     cells = work.settle(sized.groupBy("key", "size").agg(F.count("*").alias("n"), F.first("source").alias("source")), "cells")
     sources = cells.groupBy("key").agg(F.first("source").alias("source"), F.sum(F.col("size") * F.col("n")).alias("source_size"))
@@ -195,5 +197,32 @@ def mix(docs: DataFrame, work: Work, weights=WEIGHTS, share: float = SHARE, most
     rows = sized.withColumn("part", part).withColumn("rank", F.row_number().over(rank))
     got = F.col("least") + (F.col("earlier") + F.col("rank") <= F.col("extra")).cast("long")
     return rows.join(parts, ["key", "size", "part"]).withColumn("copies", got).select(
-        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
+        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"),
+        *(c for c in sized.columns if c not in ("doc_id", "source", "key", "size")),
     )
+
+
+def repeat(docs: DataFrame, work: Work, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
+    """``docs`` with each row as often as the mix takes it, all columns kept.
+
+    Copies are looked up by doc_id and text. Of rows that repeat both, each stands for the mean of their
+    copies: the sum is dealt out by a number within the repeated rows, which alone are ranked.
+    """
+    columns = docs.columns
+    mark = F.xxhash64(F.coalesce(F.col("text"), F.lit("")), F.col("source"))
+    mixed = mix(docs.select("doc_id", "source", "text"), work, weights, share, most, (mark.alias("_mark"),))
+    plan = mixed.groupBy(F.col("doc_id").alias("_id"), F.col("_mark").alias("_text")).agg(
+        F.count("*").alias("_rows"), F.sum("copies").alias("_copies")
+    )
+    plan = work.settle(plan, "plan")
+    rows = docs.withColumn("_mark", mark)
+    taken = rows.join(plan, rows.doc_id.eqNullSafe(plan._id) & (rows._mark == plan._text))
+    if plan.filter("_rows > 1").isEmpty():
+        times = F.col("_copies")
+    else:
+        part = F.when(F.col("_rows") > 1, 0).otherwise(F.monotonically_increasing_id())
+        nth = F.row_number().over(Window.partitionBy("doc_id", "_mark", part).orderBy(F.lit(1)))
+        taken = taken.withColumn("_nth", nth)
+        times = F.floor(F.col("_copies") / F.col("_rows")) + (F.col("_nth") <= F.col("_copies") % F.col("_rows")).cast("long")
+    taken = taken.withColumn("_times", times.cast("int")).filter("_times > 0")
+    return taken.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*columns)

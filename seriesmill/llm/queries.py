@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmill.llm import exact_dedup, mixing, simhash
+from seriesmill.llm import exact_dedup, mixing, packing, quality, simhash
 from seriesmill.llm.work import Work
 
 
@@ -18,6 +18,25 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def vocabulary() -> str:
+    """Path of the byte-level BPE file, the same on every machine that has the tokenizers installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(_documents(spark, sf_dir), vocabulary(), Work(spark, "op2"))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    held_out = quality.fold(F.col("doc_id"), 4) == 2
+    scored = quality.score_documents(_documents(spark, sf_dir), labels, Work(spark, "op5"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.duplicate_groups(_documents(spark, sf_dir), Work(spark, "op6"))
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
@@ -28,4 +47,4 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
-QUERIES = [op1_mix_sources, op6_exact_dedup, op10_simhash]
+QUERIES = [op1_mix_sources, op2_pack_sequences, op5_quality, op6_exact_dedup, op10_simhash]

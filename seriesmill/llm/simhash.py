@@ -13,9 +13,10 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.llm.graph import components
@@ -47,17 +48,15 @@ def fingerprint(text: str | None, width: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(bits.tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, rid, fp) per row of ``docs``: fp as a signed long, rid a number of the row."""
+def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS, extra: tuple[Column, ...] = ()) -> DataFrame:
+    """(doc_id, rid, fp, extra...) per row of ``docs``: fp as a signed long, rid a number of the row."""
 
-    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            fps = np.array([fingerprint(t, width) for t in part.column("text").to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("rid"), pa.array(fps)], ["doc_id", "rid", "fp"])
+    @F.pandas_udf("long")
+    def fp(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t, width) for t in texts], np.uint64).view(np.int64))
 
-    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("rid"), F.col("text").cast("string").alias("text"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(batches, f"doc_id {kind}, rid long, fp long")
+    text = F.col("text").cast("string")
+    return docs.select("doc_id", F.monotonically_increasing_id().alias("rid"), fp(text).alias("fp"), *extra)
 
 
 def _position_keys() -> list:
@@ -165,15 +164,17 @@ def near_pairs(codes: DataFrame, work: Work, max_bits: int = MAX_BITS, block: in
     return rows.mapInArrow(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, work: Work, width: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, fingerprint, component_id, kept.
+def near_duplicates(
+    docs: DataFrame, work: Work, width: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, extra: tuple[Column, ...] = ()
+) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, fingerprint, component_id, kept, and the ``extra`` columns.
 
     Rows link when their fingerprints differ in at most ``max_bits`` bits. A null text is empty, a
     text without words has fingerprint zero, rows that repeat fall into one component, and of each
     component one row is kept: one of those with the smallest doc_id. Empty tables give no rows. Equal
     fingerprints are one node, counted before any shuffle, so copies are never paired.
     """
-    rows = work.settle(fingerprints(docs, width), "fingerprints")
+    rows = work.settle(fingerprints(docs, width, extra), "fingerprints")
     first = rows.groupBy("fp", "doc_id").agg(F.min("rid").alias("rid")).groupBy("fp")
     codes = work.settle(first.agg(F.min("doc_id").alias("doc_id"), F.coalesce(F.min_by("rid", "doc_id"), F.min("rid")).alias("rid")), "codes")
     links = work.settle(near_pairs(codes.select("fp"), work, max_bits), "pairs")
@@ -189,5 +190,26 @@ def near_duplicates(docs: DataFrame, work: Work, width: int = SHINGLE_WORDS, max
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
         (F.col("rid") == F.col("keep_rid")).alias("kept"),
-        "rid",
+        *(c for c in rows.columns if c not in ("doc_id", "rid", "fp")),
     )
+
+
+def keep_one(docs: DataFrame, work: Work, width: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates, the first by doc_id, all columns kept.
+
+    Decisions are looked up by doc_id and text; rows that repeat both are grouped once more, and only these.
+    """
+    columns = docs.columns
+    mark = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("_mark")
+    found = near_duplicates(docs.select("doc_id", "text"), work, width, max_bits, extra=(mark,))
+    found = work.settle(found.select("doc_id", "_mark", "kept"), "decisions")
+    per_row = found.groupBy(F.col("doc_id").alias("_id"), F.col("_mark").alias("_text"))
+    counts = work.settle(per_row.agg(F.count("*").alias("n"), F.max("kept").alias("kept")).filter("NOT kept OR n > 1"), "changes")
+    rows = docs.withColumn("_mark", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    match = rows.doc_id.eqNullSafe(counts._id) & (rows._mark == counts._text)
+    kept = rows.join(counts, match, "left_anti").select(*columns)
+    again = counts.filter("kept")
+    if again.isEmpty():
+        return kept
+    twice = rows.join(again, rows.doc_id.eqNullSafe(again._id) & (rows._mark == again._text), "left_semi")
+    return kept.unionByName(twice.dropDuplicates(["doc_id", "_mark"]).select(*columns))
