@@ -27,6 +27,8 @@ FIT_ROWS = 3_000
 #: Most words with a vector of their own, and how often such a word occurs at least in the fit texts.
 VOCABULARY, LEAST_COUNT = 20_000, 4
 DIM, NONZERO, WINDOW = 128, 8, 2
+#: A word of this share of all words counts half as much as a rare one.
+RARITY = 1e-2
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 60, 128, 3e-3, 1e-4
 FIT_PARTS = 8
 THRESHOLD = 0.7
@@ -221,7 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame, work: Work, fit_rows: int = FIT_ROWS
     np.add.at(own, (np.arange(size)[:, None], places), signs)
     vectors += own / np.sqrt(NONZERO)
     share = (counts + 1) / (counts.sum() + size)
-    model = Model(words, vectors, 1e-3 / (1e-3 + share))
+    model = Model(words, vectors, RARITY / (RARITY + share))
     carried = work.spark.sparkContext.broadcast(vars(model))
 
     def features(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
