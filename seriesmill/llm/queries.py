@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmill.llm import exact_dedup, mixing, packing, quality, simhash
+from seriesmill.llm import embed_dedup, exact_dedup, mixing, packing, quality, simhash
 from seriesmill.llm.work import Work
 
 
@@ -30,6 +30,11 @@ def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return embed_dedup.near_duplicates(vectors, Work(spark, "op3"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     held_out = quality.fold(F.col("doc_id"), 4) == 2
@@ -47,4 +52,4 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
-QUERIES = [op1_mix_sources, op2_pack_sequences, op5_quality, op6_exact_dedup, op10_simhash]
+QUERIES = [op1_mix_sources, op2_pack_sequences, op3_embedding_dedup, op5_quality, op6_exact_dedup, op10_simhash]

@@ -131,12 +131,12 @@ def in_blocks(postings: DataFrame, work: Work, item: str, block: int = BLOCK) ->
     Keys of one posting go. A list longer than ``block`` is cut by a hash of the item, and every
     two blocks of a list meet in a group of their own: no group is larger than about two blocks.
     """
-    sizes = work.settle(postings.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "posting-sizes")
+    sizes = work.settle(postings.groupBy("key").agg(F.count("*").alias("posted")).filter("posted > 1"), "posting-sizes")
     rows = postings.join(sizes, "key")
-    blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
+    blocks = F.ceil(F.col("posted") / F.lit(block)).cast("int")
     rows = rows.withColumn("own", F.pmod(F.xxhash64(item, F.lit(3)), blocks).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    return rows.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("n", "other")
+    return rows.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("posted", "other")
 
 
 def near_pairs(codes: DataFrame, work: Work, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
