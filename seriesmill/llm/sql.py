@@ -10,8 +10,7 @@ FROM d WINDOW g AS (PARTITION BY text_sha256)
 OP3 = """
 WITH RECURSIVE v AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+  WHERE (SELECT bool_and(coalesce(isfinite(x), false)) AND bool_or(x <> 0) FROM unnest(embedding) t(x))),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
   WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
@@ -20,4 +19,17 @@ SELECT m.vec_id, (SELECT count(*) FROM links l WHERE l.a = m.vec_id) AS n_links,
 FROM embeddings m JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = m.vec_id
 """
 
-SQL = {"op3_embedding_dedup": OP3, "op6_exact_dedup": OP6}
+OP7 = r"""
+WITH t AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10)) + len(regexp_extract_all(text,
+    '[<\[]\\*(?:s>|/s>|INST\]|/INST\]|<SYS>>|</SYS>>|\|endoftext\|>|\|im_start\|>|\|im_end\|>)')))::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+SQL = {"op3_embedding_dedup": OP3, "op6_exact_dedup": OP6, "op7_chat_format": OP7}
