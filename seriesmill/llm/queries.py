@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmill.llm import chat, embed_dedup, exact_dedup, mixing, packing, quality, simhash
+from seriesmill.llm import chat, embed_dedup, exact_dedup, mixing, packing, pii, quality, simhash
 from seriesmill.llm.work import Work
 
 
@@ -37,6 +37,17 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(vectors, Work(spark, "op3"))
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(_documents(spark, sf_dir), Work(spark, "op4"))
+    return found.select(
+        "doc_id",
+        *[pii.count_of(F.col("base"), k).alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"),
+        pii.written(F.col("spans")).alias("spans"),
+        F.size("learnt").cast("long").alias("n_learnt"),
+    )
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     held_out = quality.fold(F.col("doc_id"), 4) == 2
@@ -69,4 +80,4 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
-QUERIES = [op1_mix_sources, op2_pack_sequences, op3_embedding_dedup, op5_quality, op6_exact_dedup, op7_chat_format, op10_simhash]
+QUERIES = [op1_mix_sources, op2_pack_sequences, op3_embedding_dedup, op4_personal_data, op5_quality, op6_exact_dedup, op7_chat_format, op10_simhash]
