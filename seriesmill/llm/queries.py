@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmill.llm import chat, embed_dedup, exact_dedup, lm_trie, mixing, packing, pii, quality, simhash
+from seriesmill.llm import chat, embed_dedup, exact_dedup, lm_trie, mixing, packing, pii, quality, simhash, substring_dedup
 from seriesmill.llm.work import Work
 
 
@@ -75,6 +75,11 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(turns))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring_dedup.remove_repeats(_documents(spark, sf_dir), Work(spark, "op8"), with_bytes=False)
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(quality.fold(F.col("doc_id"), 7) == 2, F.lit(False))
     docs = _documents(spark, sf_dir).select("doc_id", "text")
@@ -87,4 +92,4 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
-QUERIES = [op1_mix_sources, op2_pack_sequences, op3_embedding_dedup, op4_personal_data, op5_quality, op6_exact_dedup, op7_chat_format, op9_lm_scores, op10_simhash]
+QUERIES = [op1_mix_sources, op2_pack_sequences, op3_embedding_dedup, op4_personal_data, op5_quality, op6_exact_dedup, op7_chat_format, op8_substring_dedup, op9_lm_scores, op10_simhash]
