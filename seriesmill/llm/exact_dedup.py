@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesmill.llm.work import Work
+from seriesmill.llm.work import Work, whole_row
 
 #: Entries of a bucket before it is split.
 BUCKET_ENTRIES = 16_384
@@ -183,16 +183,15 @@ def keep_one(docs: DataFrame, work: Work) -> DataFrame:
 
     Rows that repeat doc_id and text are rare; only these are grouped with their texts.
     """
-    columns = docs.columns
     groups = work.settle(duplicate_groups(docs, work), "groups")
-    gone = groups.filter(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("sha").alias("_sha"), F.lit(True).alias("_gone"))
-    per_row = groups.groupBy(F.col("doc_id").alias("_id"), F.col("sha").alias("_sha"))
-    again = work.settle(per_row.agg(F.count("*").alias("n"), F.max("kept").alias("any")).filter("n > 1 AND any").select("_id", "_sha"), "again")
-    gone = work.settle(gone.distinct(), "gone")
-    rows = docs.withColumn("_sha", digest(normalised(F.col("text"))))
-    match = lambda t: rows.doc_id.eqNullSafe(t._id) & (rows._sha == t._sha)
-    kept = rows.join(gone, match(gone), "left_anti").select(*columns)
+    gone = groups.filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id"), F.col("sha").alias("gone_sha")).distinct()
+    gone = work.settle(gone, "gone")
+    per_row = groups.groupBy(F.col("doc_id").alias("again_id"), F.col("sha").alias("again_sha"))
+    again = per_row.agg(F.count("*").alias("n"), F.max("kept").alias("any")).filter("n > 1 AND any").select("again_id", "again_sha")
+    again = work.settle(again, "again")
+    rows = docs.select(whole_row(docs), F.col("doc_id").alias("id"), digest(normalised(F.col("text"))).alias("sha"))
+    kept = rows.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("sha") == F.col("gone_sha")), "left_anti").select("row.*")
     if again.isEmpty():
         return kept
-    twice = rows.join(again, match(again), "left_semi").dropDuplicates(["doc_id", "_sha"]).select(*columns)
-    return kept.unionByName(twice)
+    twice = rows.join(again, F.col("id").eqNullSafe(F.col("again_id")) & (F.col("sha") == F.col("again_sha")), "left_semi")
+    return kept.unionByName(twice.dropDuplicates(["id", "sha"]).select("row.*"))

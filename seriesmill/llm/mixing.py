@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesmill.llm.work import Work
+from seriesmill.llm.work import Work, whole_row
 
 #: Weights of the sources in code-point order, repeating; null comes last.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -208,21 +208,19 @@ def repeat(docs: DataFrame, work: Work, weights=WEIGHTS, share: float = SHARE, m
     Copies are looked up by doc_id and text. Of rows that repeat both, each stands for the mean of their
     copies: the sum is dealt out by a number within the repeated rows, which alone are ranked.
     """
-    columns = docs.columns
-    mark = F.xxhash64(F.coalesce(F.col("text"), F.lit("")), F.col("source"))
-    mixed = mix(docs.select("doc_id", "source", "text"), work, weights, share, most, (mark.alias("_mark"),))
-    plan = mixed.groupBy(F.col("doc_id").alias("_id"), F.col("_mark").alias("_text")).agg(
-        F.count("*").alias("_rows"), F.sum("copies").alias("_copies")
+    mark = F.xxhash64(F.coalesce(F.col("text"), F.lit("")), F.col("source")).alias("mark")
+    mixed = mix(docs.select("doc_id", "source", "text"), work, weights, share, most, (mark,))
+    plan = mixed.groupBy(F.col("doc_id").alias("of_id"), F.col("mark").alias("of_mark")).agg(
+        F.count("*").alias("rows"), F.sum("copies").alias("copies")
     )
     plan = work.settle(plan, "plan")
-    rows = docs.withColumn("_mark", mark)
-    taken = rows.join(plan, rows.doc_id.eqNullSafe(plan._id) & (rows._mark == plan._text))
-    if plan.filter("_rows > 1").isEmpty():
-        times = F.col("_copies")
-    else:
-        part = F.when(F.col("_rows") > 1, 0).otherwise(F.monotonically_increasing_id())
-        nth = F.row_number().over(Window.partitionBy("doc_id", "_mark", part).orderBy(F.lit(1)))
-        taken = taken.withColumn("_nth", nth)
-        times = F.floor(F.col("_copies") / F.col("_rows")) + (F.col("_nth") <= F.col("_copies") % F.col("_rows")).cast("long")
-    taken = taken.withColumn("_times", times.cast("int")).filter("_times > 0")
-    return taken.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*columns)
+    rows = docs.select(whole_row(docs), F.col("doc_id").alias("id"), mark)
+    taken = rows.join(plan, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("mark") == F.col("of_mark")))
+    times = F.col("copies")
+    if not plan.filter("rows > 1").isEmpty():
+        alone = F.when(F.col("rows") == 1, F.monotonically_increasing_id())
+        taken = taken.withColumn("alone", alone)
+        taken = taken.withColumn("nth", F.row_number().over(Window.partitionBy("id", "mark", "alone").orderBy(F.lit(1))))
+        times = F.floor(F.col("copies") / F.col("rows")) + (F.col("nth") <= F.col("copies") % F.col("rows")).cast("long")
+    taken = taken.withColumn("times", times.cast("int")).filter("times > 0")
+    return taken.withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")

@@ -258,7 +258,7 @@ def fold(doc_id: Column, parts: int) -> Column:
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, work: Work, learn: Column | None = None, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """``docs`` (doc_id, text, others kept) with ``score`` in 0 to 1 and ``predicted`` (1 from 0.7 on).
+    """``docs`` (doc_id, text, others kept) with ``score`` in 0 to 1 and ``predicted`` (1 from 0.7 on); columns of these names are replaced.
 
     Learns from the labels of rows for which ``learn`` holds. A null text is empty; texts without
     words get the score of the zero vector. Rows that repeat score alike, a null doc_id is scored and
@@ -268,5 +268,6 @@ def score_documents(docs: DataFrame, labels: DataFrame, work: Work, learn: Colum
     if learn is not None:
         usable = usable.filter(learn)
     score = scorer(fit(docs, usable, work, fit_rows), work)
-    scored = docs.withColumn("score", score(F.col("text").cast("string")))
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("score", "predicted")]
+    scored = docs.select(*others, score(F.col("text").cast("string")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))

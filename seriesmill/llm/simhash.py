@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.llm.graph import components
-from seriesmill.llm.work import Work
+from seriesmill.llm.work import Work, whole_row
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -199,17 +199,16 @@ def keep_one(docs: DataFrame, work: Work, width: int = SHINGLE_WORDS, max_bits:
 
     Decisions are looked up by doc_id and text; rows that repeat both are grouped once more, and only these.
     """
-    columns = docs.columns
-    mark = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("_mark")
+    mark = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("mark")
     found = near_duplicates(docs.select("doc_id", "text"), work, width, max_bits, extra=(mark,))
-    found = work.settle(found.select("doc_id", "_mark", "kept"), "decisions")
-    per_row = found.groupBy(F.col("doc_id").alias("_id"), F.col("_mark").alias("_text"))
-    counts = work.settle(per_row.agg(F.count("*").alias("n"), F.max("kept").alias("kept")).filter("NOT kept OR n > 1"), "changes")
-    rows = docs.withColumn("_mark", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    match = rows.doc_id.eqNullSafe(counts._id) & (rows._mark == counts._text)
-    kept = rows.join(counts, match, "left_anti").select(*columns)
-    again = counts.filter("kept")
+    per_row = work.settle(found.select("doc_id", "mark", "kept"), "decisions").groupBy(F.col("doc_id").alias("of_id"), F.col("mark").alias("of_mark"))
+    changes = per_row.agg(F.count("*").alias("n"), F.max("kept").alias("kept")).filter("NOT kept OR n > 1")
+    changes = work.settle(changes, "changes")
+    again = changes.filter("kept")
+    rows = docs.select(whole_row(docs), F.col("doc_id").alias("id"), mark)
+    same = F.col("id").eqNullSafe(F.col("of_id")) & (F.col("mark") == F.col("of_mark"))
+    kept = rows.join(changes.drop("kept", "n"), same, "left_anti").select("row.*")
     if again.isEmpty():
         return kept
-    twice = rows.join(again, rows.doc_id.eqNullSafe(again._id) & (rows._mark == again._text), "left_semi")
-    return kept.unionByName(twice.dropDuplicates(["doc_id", "_mark"]).select(*columns))
+    twice = rows.join(again.drop("kept", "n"), same, "left_semi")
+    return kept.unionByName(twice.dropDuplicates(["id", "mark"]).select("row.*"))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import gc
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from seriesmill.session import fresh_dir
 
@@ -39,3 +40,8 @@ class Work:
         """Let Spark remove the shuffle files of finished jobs: it does so once their plans are collected."""
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()
+
+
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as one, named ``row``: an operator's own columns then clash with none of them."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
