@@ -7,18 +7,18 @@ of ``documents``. Labels for the quality stage come from ``labels`` of the same
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from seriesmill.llm import exact_dedup, mixing, packing, quality, simhash
 from seriesmill.llm.queries import vocabulary
-from seriesmill.llm.work import Work
+from seriesmill.llm.work import Work, whole_row
 
 
 def keep_good_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; it learns from all labels."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = quality.score_documents(docs, labels, Work(spark, "pipeline-quality"))
-    return scored.filter("predicted = 1").select(*docs.columns)
+    rows = docs.select("doc_id", "text", whole_row(docs))
+    scored = quality.score_documents(rows, labels, Work(spark, "pipeline-quality"))
+    return scored.filter("predicted = 1").select("row.*")
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
