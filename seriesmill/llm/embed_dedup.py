@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.llm.graph import components
-from seriesmill.llm.simhash import in_blocks, spanning, whole_groups
+from seriesmill.llm.simhash import BLOCK, in_blocks, spanning, whole_groups
 from seriesmill.llm.work import Work
 
 THRESHOLD = 0.9
@@ -120,14 +120,14 @@ def _links(table: pa.Table, tables: int, threshold: float) -> tuple[np.ndarray,
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
-def near_links(classes: DataFrame, work: Work, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+def near_links(classes: DataFrame, work: Work, threshold: float = THRESHOLD, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
     """(a, b, links): links of class ``a`` found in one bucket, counted in vectors, and a class ``b`` that it reaches there.
 
     Pairs are verified and counted in their bucket, in the first table that brings them together;
     what leaves a task grows with the bucket, not with its pairs.
     """
     bits, tables = tables_for(classes.count(), threshold, recall)
-    rows = in_blocks(work.settle(postings(classes, bits, tables), "postings"), work, "cid")
+    rows = in_blocks(work.settle(postings(classes, bits, tables), "postings"), work, "cid", block)
     rows = rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
 
     def compare(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,7 +143,7 @@ def near_links(classes: DataFrame, work: Work, threshold: float = THRESHOLD, rec
     return rows.mapInArrow(compare, "a long, b long, links long")
 
 
-def near_duplicates(vectors: DataFrame, work: Work, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+def near_duplicates(vectors: DataFrame, work: Work, threshold: float = THRESHOLD, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
     """One row per row of ``vectors`` (vec_id, embedding): vec_id, n_links, component_id, kept.
 
     Equal vectors are one class, counted before any shuffle; the links of a vector are the vectors
@@ -160,7 +160,7 @@ def near_duplicates(vectors: DataFrame, work: Work, threshold: float = THRESHOLD
     )
     grouped = rows.filter("vector IS NOT NULL").groupBy("vector").agg(F.count("*").alias("n"), F.min("vec_id").alias("first"))
     classes = work.settle(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    links = work.settle(near_links(classes, work, threshold, recall), "links")
+    links = work.settle(near_links(classes, work, threshold, recall, block), "links")
     roots = components(links.select("a", "b"), work)
     counts = links.groupBy(F.col("a").alias("cid")).agg(F.sum("links").alias("links"))
     known = (

@@ -83,7 +83,7 @@ def linked_in_groups(code: np.ndarray, group: np.ndarray, block: np.ndarray, sam
         diff = code[i] ^ code[j]
         shared = (diff.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1)  # tally of shared positional bytes
         pair = shared >= 8 - max_bits
-        pair[pair] = np.bitwise_count(diff[pair]) <= max_bits
+        pair[pair] = np.bitwise_count(diff[pair].view(np.uint64)) <= max_bits  # of signed numbers it would count the absolute value
         found.append((i[pair], j[pair]))
     if not found:
         return np.empty(0, np.int64), np.empty(0, np.int64)
@@ -165,7 +165,7 @@ def near_pairs(codes: DataFrame, work: Work, max_bits: int = MAX_BITS, block: in
 
 
 def near_duplicates(
-    docs: DataFrame, work: Work, width: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, extra: tuple[Column, ...] = ()
+    docs: DataFrame, work: Work, width: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, extra: tuple[Column, ...] = (), block: int = BLOCK
 ) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, fingerprint, component_id, kept, and the ``extra`` columns.
 
@@ -177,7 +177,7 @@ def near_duplicates(
     rows = work.settle(fingerprints(docs, width, extra), "fingerprints")
     first = rows.groupBy("fp", "doc_id").agg(F.min("rid").alias("rid")).groupBy("fp")
     codes = work.settle(first.agg(F.min("doc_id").alias("doc_id"), F.coalesce(F.min_by("rid", "doc_id"), F.min("rid")).alias("rid")), "codes")
-    links = work.settle(near_pairs(codes.select("fp"), work, max_bits), "pairs")
+    links = work.settle(near_pairs(codes.select("fp"), work, max_bits, block), "pairs")
     roots = components(links, work)
     classes = codes.join(roots, codes.fp == roots.node, "left").select("fp", "doc_id", "rid", F.coalesce("root", "fp").alias("root"))
     classes = work.settle(classes, "classes")
