@@ -41,10 +41,9 @@ def trend_and_amount(hit: Column, title: Column) -> tuple[Column, Column]:
 
 def article_day(meta: Column, shown: Column, has_meta: Column) -> Column:
     """Publication day as ``dd/MM/yyyy``; the shown text counts only where no meta tag exists."""
-    pattern = r"(\d{4})-(\d{2})-(\d{2})"
-    parts = [F.regexp_extract(meta, pattern, i) for i in (3, 2, 1)]
+    parts = [F.regexp_extract(meta, fixed.ISO_DAY, i) for i in (3, 2, 1)]
     from_meta = F.when(parts[2] != "", F.concat_ws("/", *parts))
-    from_text = _blank_to_null(F.regexp_extract(shown, r"\d{1,2}/\d{1,2}/\d{4}", 0))
+    from_text = _blank_to_null(F.regexp_extract(shown, fixed.SHOWN_DAY, 0))
     return F.when(has_meta, from_meta).otherwise(from_text)
 
 
@@ -56,13 +55,3 @@ def trend_label(value: Column) -> Column:
 def signed_change(amount: Column, trend: Column) -> Column:
     """Unsigned amount plus trend word as one signed number."""
     return F.when(trend == fixed.DOWN, -F.abs(amount)).otherwise(amount)
-
-
-def tag_text(html: Column, tag: str, css_class: str | None = None) -> Column:
-    """Text of the first ``tag`` in raw HTML, built from expressions only.
-
-    Meant for tags that do not nest in themselves, such as headings; entities are kept as written.
-    """
-    attrs = r"[^>]*" if css_class is None else rf"[^>]*\bclass=[\"'][^\"']*\b{css_class}\b[^>]*"
-    inner = F.regexp_extract(html, rf"(?is)<{tag}\b{attrs}>(.*?)</{tag}\s*>", 1)
-    return F.trim(F.regexp_replace(inner, r"<[^>]*>", ""))

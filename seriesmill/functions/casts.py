@@ -15,8 +15,25 @@ SPACES = (
 )
 
 
+#: Read after ISO, in this order: of two readings month first wins, as in ``01/02/2024`` for January.
+DATE_FORMATS = ("yyyy/M/d", "yyyyMMdd", "yyyy.M.d", "M/d/yyyy", "d/M/yyyy", "M-d-yyyy", "d-M-yyyy", "d.M.yyyy")
+
+
 def to_date(c: Column, dtype: T.DataType | None = None) -> Column:
-    return c if isinstance(dtype, T.DateType) else c.try_cast("date")
+    """Date from ISO text or one of ``DATE_FORMATS``, a time of day is dropped; anything else is null."""
+    if isinstance(dtype, T.DateType):
+        return c
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return c.cast("date")
+    text = F.trim(c.cast("string"))
+    day = F.regexp_replace(text, r"[ T]\d{1,2}:\d{2}.*$", "")
+    iso = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), text.try_cast("date"))
+    return F.coalesce(iso, *[F.try_to_date(day, f) for f in DATE_FORMATS])
+
+
+def unread_dates(c: Column, dtype: T.DataType | None = None) -> Column:
+    """Count of values that ``to_date`` turns to null."""
+    return F.count_if(c.isNotNull() & to_date(c, dtype).isNull())
 
 
 def to_number(c: Column, dtype: T.DataType | None = None) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import Column, functions as F
 from seriesmill import fixed
 
 DAY_FIRST_FORMATS = ("d/M/yyyy", "d-M-yyyy", "d.M.yyyy", "M/d/yyyy")
+SHORT_YEAR_FORMATS = ("d/M/yy", "d-M-yy", "d.M.yy", "M/d/yy")
 
 
 def month_start(c: Column) -> Column:
@@ -28,10 +29,16 @@ def month_label(c: Column) -> Column:
 
 
 def day_first(c: Column) -> Column:
-    """Date of a text written day first, as ``yyyy-MM-dd``; unreadable text is passed through."""
+    """Date of a text written day first, as ``yyyy-MM-dd``; unreadable text is passed through.
+
+    A time of day after the date is dropped; two digits are a year of this century.
+    """
     text = F.trim(c.cast("string"))
     iso = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), text.try_cast("date"))
-    tries = [F.try_to_date(text, f) for f in DAY_FIRST_FORMATS]
+    day = F.regexp_replace(text, r"[ T,]+\d{1,2}:\d{2}.*$", "")
+    long_year = day.rlike(r"\d{4}$")
+    tries = [F.when(long_year, F.try_to_date(day, f)) for f in DAY_FIRST_FORMATS]
+    tries += [F.when(~long_year, F.try_to_date(day, f)) for f in SHORT_YEAR_FORMATS]
     return F.coalesce(F.date_format(F.coalesce(iso, *tries), "yyyy-MM-dd"), c.cast("string"))
 
 

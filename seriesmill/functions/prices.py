@@ -47,8 +47,7 @@ _SPACE = r"[\s\u001c-\u001f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u20
 
 
 def _pattern(keyword: str) -> str:
-    plain = rf"(?iu){keyword}[^0-9]*?({fixed.AMOUNT})(?:\s*[-–—]\s*({fixed.AMOUNT}))?"
-    return plain.replace(r"\s", _SPACE)
+    return f"(?iu){keyword}{fixed.PRICE_AFTER_KEYWORD}".replace(r"\s", _SPACE)
 
 
 def price_hit(alias: str, text: Column) -> Column:

@@ -12,12 +12,17 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import (
-    OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler,
+    OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler,
 )
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-SKETCH_ACCURACY = 10_000
+from seriesmill.operators.pages import with_position
+
+#: Parts into which a pass over the values cuts the range of a wanted rank.
+RANGES = 256
 MAX_TEXTS = 10_000
+#: Columns per aggregate, so that generated code stays small.
+AGGREGATES = 100
 
 
 def _double(name: str) -> Column:
@@ -25,65 +30,64 @@ def _double(name: str) -> Column:
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
-    """Exact median per column, the mean of the middle pair for even counts.
+    """Exact median per column, the mean of the middle pair for even counts; only finite numbers count.
 
-    A built-in exact median keeps every distinct value of a column in one buffer. Here a bounded
-    quantile sketch brackets each median, then one pass counts the values below the bracket and
-    gathers only the values inside it, about a thousandth of the rows. A bracket that missed is
-    widened, so the result is always exact. Columns without any value give ``None``.
+    Values are counted, never gathered: each pass cuts the range that holds a wanted rank into
+    ``RANGES`` parts and keeps the part with the rank, as tight as its values are, until that part
+    holds one value. A pass is an aggregate that combines before its shuffle and returns at most ``RANGES`` rows per
+    wanted rank, two of a column. Columns without any value give ``None``.
     """
+    names = list(columns)
+    extent = _ranges(df, [(c, None, None) for c in names])
     out: dict[str, float | None] = {}
-    todo, margin = list(columns), 4 / SKETCH_ACCURACY
-    while todo:
-        sides = [max(0.0, 0.5 - margin), min(1.0, 0.5 + margin)]
-        sketch = df.agg(
-            *[
-                F.expr(
-                    f"percentile_approx(CAST(`{c}` AS DOUBLE), array({sides[0]}D, {sides[1]}D), "
-                    f"{SKETCH_ACCURACY}) AS `{i}`"
-                )
-                for i, c in enumerate(todo)
-            ]
-        ).first()
-        bounds = {c: sketch[str(i)] for i, c in enumerate(todo) if sketch[str(i)]}
-        out |= {c: None for c in todo if c not in bounds}
-        if not bounds:
-            break
-        found = _medians_within(df, bounds)
-        out |= found
-        todo = [c for c in bounds if c not in found]
-        margin *= 8
-    return out
-
-
-def _medians_within(df: DataFrame, bounds: dict[str, Sequence[float]]) -> dict[str, float]:
-    names = list(bounds)
-    doubles = ", ".join(f"CAST(`{c}` AS DOUBLE)" for c in names)
-    cells = df.selectExpr(f"posexplode(array({doubles})) AS (i, v)").where("v IS NOT NULL")
-    low, high = (F.lit([float(bounds[c][k]) for c in names])[F.col("i")] for k in (0, 1))
-    # values outside the bracket are only counted, per side; values inside keep their identity
-    side = F.when(F.col("v") < low, -1).when(F.col("v") > high, 1).otherwise(0)
-    counts = (
-        cells.withColumn("side", side)
-        .groupBy("i", "side", F.when(F.col("side") == 0, F.col("v")).alias("v"))
-        .agg(F.count(F.lit(1)).alias("m"))
-    )
-    per_column = Window.partitionBy("i")
-    ranked = counts.withColumns(
-        {"upto": F.sum("m").over(per_column.orderBy("side", "v")), "n": F.sum("m").over(per_column)}
-    )
-    # a value covers the zero-based ranks [upto - m, upto)
-    covers = lambda rank: (F.col("upto") - F.col("m") <= rank) & (rank < F.col("upto"))
-    rows = (
-        ranked.groupBy("i")
-        .agg(
-            F.max(F.when(covers(F.floor((F.col("n") - 1) / 2)), F.col("v"))).alias("a"),
-            F.max(F.when(covers(F.floor(F.col("n") / 2)), F.col("v"))).alias("b"),
+    ends: dict[str, list[float]] = {c: [] for c in names}
+    open_: dict[tuple[str, int], tuple[int, float, float]] = {}
+    for i, c in enumerate(names):
+        if i not in extent:
+            out[c] = None
+            continue
+        (_, n, low, high), = extent[i]
+        for rank in ((n - 1) // 2, n // 2):
+            open_[c, rank] = (0, low, high)
+            ends[c].append(rank)
+    value: dict[tuple[str, int], float] = {}
+    while open_:
+        value |= {k: low for k, (_, low, high) in open_.items() if low == high}
+        open_ = {k: v for k, v in open_.items() if v[1] < v[2]}
+        brackets = sorted({(c, low, high) for (c, _), (_, low, high) in open_.items()})
+        parts = _ranges(df, brackets) if brackets else {}
+        for (c, rank), (below, low, high) in open_.items():
+            for _, n, first, last in parts[brackets.index((c, low, high))]:
+                if rank < below + n:
+                    open_[c, rank] = (below, first, last)
+                    break
+                below += n
+    return out | {c: (value[c, r[0]] + value[c, r[1]]) / 2 for c, r in ends.items() if r}
+
+
+def _ranges(df: DataFrame, brackets: Sequence[tuple]) -> dict[int, list[tuple]]:
+    """Per bracket (column, low, high) the parts with values, in order: (part, values, smallest, largest)."""
+    cells = []
+    for i, (c, low, high) in enumerate(brackets):
+        v, part = f"CAST(`{c}` AS DOUBLE)", "0"
+        if low is not None:
+            # halves, so that no difference overflows
+            share = f"({v} / 2 - {low / 2!r}D) / {high / 2 - low / 2!r}D" if high / 2 > low / 2 else f"IF({v} > {low!r}D, 1D, 0D)"
+            part = f"CAST(least({RANGES - 1}, floor({share} * {RANGES})) AS INT)"
+            v = f"IF({v} BETWEEN {low!r}D AND {high!r}D, {v}, NULL)"
+        cells.append(f"named_struct('i', {i}, 'part', {part}, 'v', {v})")
+    found: dict[int, list[tuple]] = {}
+    for at in range(0, len(cells), AGGREGATES):
+        rows = (
+            df.selectExpr(f"inline(array({', '.join(cells[at : at + AGGREGATES])}))")
+            .where("abs(v) < double('infinity')")
+            .groupBy("i", "part")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+            .collect()
         )
-        .where("a IS NOT NULL AND b IS NOT NULL")
-        .collect()
-    )
-    return {names[r["i"]]: (r["a"] + r["b"]) / 2 for r in rows}
+        for r in sorted(rows, key=lambda r: r["part"]):
+            found.setdefault(r["i"], []).append((r["part"], r["n"], r["low"], r["high"]))
+    return found
 
 
 def text_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -131,37 +135,47 @@ def standardize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def _mean_and_dev(df: DataFrame, exprs: dict[str, str]) -> tuple[dict, dict]:
     """Mean and population deviation per SQL expression; a deviation of zero counts as one."""
-    names = list(exprs)
-    cells = df.selectExpr(f"posexplode(array({', '.join(exprs.values())})) AS (i, v)")
-    rows = cells.groupBy("i").agg(F.avg("v").alias("m"), F.stddev_pop("v").alias("d")).collect()
-    means = {names[r["i"]]: r["m"] for r in rows}
-    return means, {names[r["i"]]: r["d"] or 1.0 for r in rows}
+    means, devs, names = {}, {}, list(exprs)
+    for at in range(0, len(names), AGGREGATES):
+        some = names[at : at + AGGREGATES]
+        row = df.agg(*[f(F.expr(exprs[c])) for c in some for f in (F.avg, F.stddev_pop)]).first() if some else ()
+        means |= {c: row[2 * i] for i, c in enumerate(some)}
+        devs |= {c: row[2 * i + 1] or 1.0 for i, c in enumerate(some)}
+    return means, devs
+
+
+def text_numbers(known: DataFrame, column: str) -> DataFrame:
+    """(text, code) of the distinct texts in order, from 0; numbered without moving them to one task or the driver."""
+    texts = known.select(F.col(f"`{column}`").cast("string").alias("__text")).where("__text IS NOT NULL").distinct()
+    numbered = with_position(texts, ["__text"], "__code")
+    return numbered.select("__text", (F.col("__code") - 1).cast("double").alias("__code"))
+
+
+def _coded(df: DataFrame, numbers: DataFrame, column: str, output: str, unseen: float) -> DataFrame:
+    text = F.col(f"`{column}`").cast("string")
+    joined = df.join(numbers, text == F.col("__text"), "left")
+    return joined.withColumn(output, F.coalesce(F.col("__code"), F.lit(unseen))).drop("__text", "__code")
 
 
 def ordinal_codes(df: DataFrame, known: DataFrame, column: str, output: str) -> DataFrame:
-    """Position of the text among the sorted values of ``known``; unseen text is -1."""
-    indexer = StringIndexer(
-        inputCol=column, outputCol=output, handleInvalid="keep", stringOrderType="alphabetAsc"
-    ).fit(known)
-    n = len(indexer.labelsArray[0])
-    coded = indexer.transform(df)
-    return coded.withColumn(output, F.when(F.col(output) == n, -1.0).otherwise(F.col(output)))
+    """Position of the text among the sorted values of ``known``; null and unseen text is -1."""
+    return _coded(df, text_numbers(known, column), column, output, -1.0)
 
 
 def one_hot(df: DataFrame, known: DataFrame, columns: Sequence[str], suffix: str = "_hot") -> DataFrame:
-    """Indicator vector per column; text not seen in ``known`` becomes the zero vector."""
-    out = df
-    for stage in _hot_stages(known, columns, suffix):
-        out = stage.transform(out)
-    return out.drop(*[f"{c}{suffix}_ix" for c in columns])
-
-
-def _hot_stages(known: DataFrame, columns: Sequence[str], suffix: str = "_hot") -> list[Transformer]:
-    index = [f"{c}{suffix}_ix" for c in columns]
-    indexer = StringIndexer(
-        inputCols=list(columns), outputCols=index, handleInvalid="keep", stringOrderType="alphabetAsc"
-    ).fit(known)
-    return [indexer, _hot_encoder(indexer.transform(known), columns, suffix)]
+    """Indicator vector per column; null, and text not seen in ``known``, becomes the zero vector.
+
+    Of the known texts only their number comes to the driver.
+    """
+    out, index, sizes = df, [f"{c}{suffix}_ix" for c in columns], []
+    for c, ix in zip(columns, index):
+        numbers = text_numbers(known, c)
+        sizes.append(float(numbers.count()))
+        out = _coded(out, numbers, c, ix, sizes[-1])
+    # the encoder learns the sizes from one row; the last code, that of unseen text, is dropped
+    widest = df.sparkSession.createDataFrame([tuple(sizes)], ", ".join(f"`{ix}` double" for ix in index))
+    encoder = OneHotEncoder(inputCols=index, outputCols=[f"{c}{suffix}" for c in columns], dropLast=True).fit(widest)
+    return encoder.transform(out).drop(*index)
 
 
 def _hot_encoder(indexed: DataFrame, columns: Sequence[str], suffix: str = "_hot") -> Transformer:

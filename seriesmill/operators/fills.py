@@ -148,10 +148,11 @@ def densify_daily(
     """Add the missing calendar days between the rows of each series, other columns null.
 
     Every row emits the days up to its successor, so no calendar is built and nothing is joined.
-    Needs one row per series and day. Days before ``start`` are not added.
+    Rows that repeat a day all stay; the gap after them is filled once. Days before ``start`` are not added.
     """
     after = Window.partitionBy(*keys).orderBy(date)
-    last_day = F.coalesce(F.date_sub(F.lead(date).over(after), 1), F.col(date))
+    # a successor on the same day leaves no gap
+    last_day = F.greatest(F.date_sub(F.lead(date).over(after), 1), F.col(date))
     if start is not None:
         last_day = F.when(last_day >= F.lit(start).cast("date"), last_day).otherwise(F.col(date))
     days = df.withColumn("__last", last_day).withColumn(

@@ -66,6 +66,10 @@ def fold_bounds(folds: DataFrame) -> list[tuple[int, object, object, object]]:
 
 
 def with_folds(panel: DataFrame, folds: DataFrame, date: str = "date_id") -> DataFrame:
-    """Panel rows once per fold they take part in, by an equality join on the month."""
-    member = folds.withColumnRenamed("month", "__month")
+    """Panel rows once per fold they take part in.
+
+    The folds are a calendar, at most ``max_splits`` rows per month, and go to every task: the rows of a
+    month are never gathered.
+    """
+    member = F.broadcast(folds.withColumnRenamed("month", "__month"))
     return panel.withColumn("__month", F.trunc(date, "MM")).join(member, "__month").drop("__month")

@@ -8,10 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from seriesmill import fixed
 from seriesmill.functions import dates
-
-BASE_COLUMNS = (
-    "date_id", "region_id", "rice_id", "region_name", "rice_name", "rice_group", "price_rice",
-)
+from seriesmill.sources import files
 
 
 def direction_label(direction: Column, labels=None) -> Column:
@@ -33,7 +30,7 @@ def horizon_rows(latest: DataFrame, horizons: Sequence[int] = fixed.HORIZONS) ->
 
 def finish(rows: DataFrame) -> DataFrame:
     """Round the price, add the label, fix the column order."""
-    keep = [c for c in BASE_COLUMNS if c in rows.columns]
+    keep = [c for c in fixed.FORECAST_BASE if c in rows.columns]
     return rows.select(
         *keep,
         "forecast_horizon_month",
@@ -65,12 +62,12 @@ def export(forecast: DataFrame) -> DataFrame:
             "nam_du_bao": F.year(ahead),
             "thang_so_du_bao": F.month(ahead),
         }
-    ).withColumnsRenamed(
-        {
-            "forecast_horizon_month": "so_thang_du_bao",
-            "price_rice": "gia_hien_tai",
-            "predicted_price": "gia_du_bao",
-            "predicted_direction_label": "xu_huong_du_bao",
-        }
-    )
+    ).withColumnsRenamed(fixed.EXPORT_NAMES)
     return out.select(*fixed.EXPORT_FIELDS).orderBy("nam_du_bao", "thang_so_du_bao", "rice_id")
+
+
+def write_forecast(forecast: DataFrame, folder: str) -> None:
+    """Forecast rows and their report layout as CSV below ``folder``; a repeated run replaces both."""
+    base = folder.rstrip("/")
+    files.write_csv(forecast, f"{base}/forecast", "overwrite")
+    files.write_csv(export(forecast), f"{base}/forecast_export", "overwrite")

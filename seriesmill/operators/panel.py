@@ -65,8 +65,8 @@ def monthly_aggregate(
     return (
         placed.groupBy(month.alias("__month"), *spec.keys)
         .agg(
-            *[F.avg(c).alias(c) for c in numbers],
-            *[F.mode(c, True).alias(c) for c in categories],
+            *[F.avg(F.col(f"`{c}`")).alias(c) for c in numbers],
+            *[F.mode(F.col(f"`{c}`"), True).alias(c) for c in categories],
         )
         .withColumnRenamed("__month", spec.date)
     )
@@ -115,7 +115,7 @@ def target_lag_columns(spec: PanelSpec = PRICE_PANEL) -> dict[str, Column]:
 def feature_lag_columns(measures: Sequence[str], spec: PanelSpec = PRICE_PANEL) -> dict[str, Column]:
     w = spec.ordered()
     return {
-        f"{c}_lag_{k}": F.lag(c, k).over(w)
+        f"{c}_lag_{k}": F.lag(F.col(f"`{c}`"), k).over(w)
         for c in measures
         for k in range(1, spec.max_feature_lag + 1)
     }
@@ -128,7 +128,7 @@ def rolling_columns(
     make = {"mean": F.avg, "std": F.stddev_samp}
     w = spec.ordered()
     return {
-        f"{c}_roll_{stat}_{n}": make[stat](c).over(w.rowsBetween(-(n - 1), 0))
+        f"{c}_roll_{stat}_{n}": make[stat](F.col(f"`{c}`")).over(w.rowsBetween(-(n - 1), 0))
         for c in columns
         for n in spec.rolling_windows
         for stat in stats

@@ -27,15 +27,15 @@ def shapes(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def nonnull_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Known values per column; a single pass for all columns."""
+    """Known values per column, fewest gaps first; a single pass for all columns."""
     cols = list(columns or df.columns)
     row = df.agg(*[F.count(f"`{c}`").alias(c) for c in cols])
-    return _stacked(row, cols, "column_name", "n_known")
+    return _stacked(row, cols, "column_name", "n_known").orderBy(F.desc("n_known"), "column_name")
 
 
 def series_lengths(df: DataFrame, keys: Sequence[str], date: str = "date_id") -> DataFrame:
-    """Distinct dates per series."""
-    return df.groupBy(*keys).agg(F.countDistinct(date).alias("n_months"))
+    """Distinct dates per series, shortest series first."""
+    return df.groupBy(*keys).agg(F.countDistinct(date).alias("n_months")).orderBy("n_months", *keys)
 
 
 def value_counts(df: DataFrame, key: str) -> DataFrame:
@@ -48,7 +48,7 @@ def correlations(df: DataFrame, target: str, candidates: Sequence[str], top: int
     Each pair uses the rows where both are known; all pairs share one pass.
     """
     cols = [c for c in candidates if c in df.columns and c != target]
-    row = df.agg(*[F.corr(target, c).alias(c) for c in cols])
+    row = df.agg(*[F.corr(F.col(f"`{target}`"), F.col(f"`{c}`")).alias(c) for c in cols])
     out = _stacked(row, cols, "feature", "corr")
     ranked = out.orderBy(F.abs("corr").desc_nulls_last(), "feature")
     return ranked.limit(top) if top else ranked

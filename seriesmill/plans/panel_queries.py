@@ -173,7 +173,7 @@ def corr_with_target(spark, sf) -> DataFrame:
 
 
 def expanding_folds(spark, sf) -> DataFrame:
-    monthly = _monthly(spark, sf)
+    monthly = settle(_monthly(spark, sf).select("date_id", *SERIES), "monthly")  # read for the folds and for the members
     members = folds.with_folds(monthly.select("date_id", *SERIES), folds.expanding_folds(monthly))
     return members.groupBy("fold", "role").agg(
         F.count(F.lit(1)).alias("n_rows"),

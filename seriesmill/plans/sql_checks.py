@@ -290,11 +290,11 @@ SELECT k AS o_orderkey,
   CASE WHEN fits AND k % 7 <> 0 THEN span END AS price_1
 FROM v"""
 
-PAGE_TITLE = """
-SELECT page_id, coalesce(
+_TITLE = """replace(replace(replace(replace(coalesce(
   nullif(trim(regexp_replace(regexp_extract(html, '(?is)<h1\\b[^>]*\\bclass=["''][^"'']*\\bdetail-title\\b[^>]*>(.*?)</h1\\s*>', 1), '<[^>]*>', '', 'g')), ''),
-  nullif(trim(regexp_replace(regexp_extract(html, '(?is)<h1\\b[^>]*>(.*?)</h1\\s*>', 1), '<[^>]*>', '', 'g')), ''), '') AS title
-FROM pages""".replace("\\\\", "\\")
+  nullif(trim(regexp_replace(regexp_extract(html, '(?is)<h1\\b[^>]*>(.*?)</h1\\s*>', 1), '<[^>]*>', '', 'g')), ''), ''), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&')""".replace("\\\\", "\\")
+PAGE_TITLE = f"""
+SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'Gạo & Cámtăng' || page_id ELSE {_TITLE} END AS title FROM pages"""
 
 ARTICLE_DATE = """
 SELECT url, CASE page_id % 3
@@ -302,8 +302,8 @@ SELECT url, CASE page_id % 3
   WHEN 1 THEN (page_id % 28 + 1) || '/7/2023' END AS ngay_thang
 FROM pages"""
 
-ARTICLE_RECORDS = """
-SELECT url, CASE WHEN page_id % 4 = 3 THEN 'Không rõ' WHEN page_id % 2 = 0 THEN 'Tăng' ELSE 'Giảm' END AS xu_huong_bien_dong,
+ARTICLE_RECORDS = f"""
+SELECT url, {_TITLE} AS tieu_de, CASE WHEN page_id % 4 = 3 THEN 'Không rõ' WHEN page_id % 2 = 0 THEN 'Tăng' ELSE 'Giảm' END AS xu_huong_bien_dong,
   CASE WHEN page_id % 4 <> 3 THEN (page_id % 9) || '.' || (page_id % 90 + 10) END AS muc_tang_giam, '%' AS don_vi
 FROM pages"""
 
@@ -411,7 +411,8 @@ SELECT o_orderkey AS row_key, CASE WHEN o_orderkey % 13 <> 0 THEN CAST(o_orderda
   o_orderpriority AS rice_id FROM orders""",
     "ingest_stream": "SELECT DISTINCT event_type, user_id, CAST(ts AS DATE) AS day FROM events",
     "parse_price_map": """
-SELECT event_id, regexp_extract(props, '(\\d+)', 1) AS ure, CAST(NULL AS VARCHAR) AS kali FROM events""",
+SELECT event_id, regexp_extract(props, '(\\d+)', 1) AS ure,
+  CASE WHEN event_id % 3 = 2 AND event_id % 5 <> 0 THEN CAST(event_id AS VARCHAR) END AS kali FROM events""",
     "range_low": f"WITH {RANGES} SELECT p_partkey, CAST(split_part(t, '-', 1) AS DOUBLE) AS price FROM r",
     "range_mid": f"WITH {RANGES} SELECT p_partkey, "
     + rnd("(CAST(split_part(t, '-', 1) AS DOUBLE) + CAST(split_part(t, '-', -1) AS DOUBLE)) / 2 / 50")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from seriesmill import fixed
-from seriesmill.functions import articles, dates, prices
+from seriesmill.functions import dates, prices
 from seriesmill.operators import fills, pages, profile, staging
 from seriesmill.plans import standins as st
 from seriesmill.session import fresh_dir
@@ -55,10 +55,12 @@ def write_json(spark, sf) -> DataFrame:
 
 
 def clean_fact(spark, sf) -> DataFrame:
-    key = F.col("o_orderkey")
+    key, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
     raw = st.table(spark, sf, "orders").select(
         key.alias("row_key"),
-        F.when(key % 13 == 0, "bad day").otherwise(F.col("o_orderdate").cast("date").cast("string")).alias("date_id"),
+        F.when(key % 13 == 0, "bad day").when(key % 11 == 0, F.date_format(day, "yyyy/MM/dd"))
+        .when(key % 7 == 0, F.date_format(day, "M/d/yyyy")).when(key % 6 == 0, F.date_format(day, "yyyyMMdd"))
+        .when(key % 5 == 0, F.date_format(day, "yyyy-MM-dd HH:mm")).otherwise(day.cast("string")).alias("date_id"),
         F.when(key % 17 == 0, "x").when(key % 3 == 0, F.concat((key % 5).cast("string"), F.lit(".0")))
         .when(key % 19 == 0, "1.5").otherwise((key % 5).cast("string")).alias("region_id"),
         (key % 4).cast("string").alias("eco_id"),
@@ -85,7 +87,8 @@ def parse_price_map(spark, sf) -> DataFrame:
         "props", F.lit('"k"'), F.when(F.col("event_id") % 2 == 0, '"Ure Cà Mau"').otherwise('"Urê Cà Mau"')
     )
     single = F.replace(named, F.lit('"'), F.lit("'"))
-    with_none = F.replace(single, F.lit("}"), F.lit(", 'Kali': None}"))
+    kali = F.when(F.col("event_id") % 5 == 0, "None").otherwise(F.concat(F.lit("'"), F.col("event_id").cast("string"), F.lit("'")))
+    with_none = F.concat(F.substring(single, F.lit(1), F.length(single) - 1), F.lit(", 'Kali': "), kali, F.lit("}"))
     rows = st.table(spark, sf, "events").select(
         "event_id", F.when(kind == 0, named).when(kind == 1, single).otherwise(with_none).alias("data")
     )
@@ -193,10 +196,12 @@ def price_range_guard(spark, sf) -> DataFrame:
 
 
 def page_title(spark, sf) -> DataFrame:
-    html = F.col("html")
-    found = [articles.tag_text(html, "h1", "detail-title"), articles.tag_text(html, "h1")]
-    title = F.coalesce(*[F.when(t != "", t) for t in found], F.lit(""))
-    return st.table(spark, sf, "pages").select("page_id", title.alias("title"))
+    """Titles of the index articles; every other page has one with an entity and a tag inside."""
+    n = F.col("page_id")
+    heading = F.concat(F.lit('<h1 class="detail-title">Gạo &amp; Cám <b>tăng</b> '), n.cast("string"), F.lit("</h1>"))
+    html = F.concat(F.when(n % 2 == 0, heading).otherwise(""), F.col("html"))
+    records = pages.index_articles(st.table(spark, sf, "pages").select(n.cast("string").alias("url"), html.alias("html")))
+    return records.select(F.col("url").cast("bigint").alias("page_id"), F.col("tieu_de").alias("title"))
 
 
 def _dressed_pages(spark, sf) -> DataFrame:
@@ -231,7 +236,7 @@ def article_date(spark, sf) -> DataFrame:
 
 def article_records(spark, sf) -> DataFrame:
     records = pages.index_articles(_dressed_pages(spark, sf))
-    return records.select("url", "xu_huong_bien_dong", "muc_tang_giam", "don_vi")
+    return records.select("url", "tieu_de", "xu_huong_bien_dong", "muc_tang_giam", "don_vi")
 
 
 def region_table_prices(spark, sf) -> DataFrame:
@@ -271,7 +276,8 @@ def url_date(spark, sf) -> DataFrame:
 def dayfirst_date(spark, sf) -> DataFrame:
     day = F.col("o_orderdate").cast("date")
     key = F.col("o_orderkey")
-    text = F.when(key % 4 == 0, F.date_format(day, "d/M/yyyy")).when(key % 4 == 1, F.date_format(day, "yyyy-MM-dd")).when(
+    text = F.when(key % 12 == 0, F.date_format(day, "d/M/yyyy HH:mm")).when((key % 12 == 4) & (F.year(day) >= 2000), F.date_format(day, "d/M/yy")).when(
+        key % 4 == 0, F.date_format(day, "d/M/yyyy")).when(key % 4 == 1, F.date_format(day, "yyyy-MM-dd")).when(
         key % 4 == 2, F.date_format(day, "dd-MM-yyyy")).otherwise("chưa rõ")
     return st.table(spark, sf, "orders").select("o_orderkey", dates.day_first(text).alias("day"))
 

@@ -5,14 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Header CSV whose quoted fields double their quotes; no inference pass over the data."""
+def read_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = False, mode: str = "PERMISSIVE") -> DataFrame:
+    """Header CSV whose quoted fields double their quotes; no inference pass over the data.
+
+    Files whose fields hold line feeds need ``multi_line``, which reads each file as a whole. Mode ``FAILFAST``
+    stops at a record that does not fit the schema instead of nulling what it cannot read.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", False)
+        .option("multiLine", multi_line)
+        .option("mode", mode)
         .csv(path)
     )
 

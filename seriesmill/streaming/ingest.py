@@ -22,9 +22,9 @@ def refresh(
     """Process the files that arrived since the last call, then stop; returns the target table.
 
     Progress lives in ``state``, so a restarted run continues where the last one ended. A batch is
-    reduced to one row per key, and keys the target already holds are left out. The target is
-    partitioned by ``day``, the date of a row, which takes part in the key: a batch reads back only
-    the days it touches.
+    reduced to one row per key, and keys the target already holds are left out; a null in a key
+    equals another null. The target is partitioned by ``day``, the date of a row, which takes part in the key: a
+    batch reads back only the days it touches, which it finds by a join.
     """
     reader = spark.readStream.schema(schema).format(file_format)
     if name_filter:
@@ -36,16 +36,22 @@ def refresh(
     def merge(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("ingest_day", F.col(day).cast("date"))
         identity = ["ingest_day", *keys]
+        rows.persist()
         fresh = rows.dropDuplicates(identity)
         if batch_id > 0:
-            days = [r[0] for r in rows.select("ingest_day").distinct().collect()]
-            known = spark.read.schema(stored).parquet(target).where(
-                (F.col("ingest_batch") < batch_id) & F.col("ingest_day").isin(days)
-            )
-            fresh = fresh.join(known.select(*identity), identity, "left_anti")
+            days = rows.select(F.col("ingest_day").alias("touched")).distinct()
+            known = spark.read.schema(stored).parquet(target).where(F.col("ingest_batch") < batch_id)
+            # the join on the partition column prunes the target to the days of the batch
+            known = known.join(days, F.col("ingest_day").eqNullSafe(F.col("touched")), "left_semi")
+            known = known.select(*[F.col(c).alias(f"known_{i}") for i, c in enumerate(identity)])
+            same = F.lit(True)
+            for i, c in enumerate(identity):
+                same = same & F.col(c).eqNullSafe(F.col(f"known_{i}"))
+            fresh = fresh.join(known, same, "left_anti")
         # one folder per batch: a repeated batch replaces itself instead of adding twice
         out = f"{target.rstrip('/')}/ingest_batch={batch_id}"
         fresh.write.mode("overwrite").partitionBy("ingest_day").parquet(out)
+        rows.unpersist()
 
     query = (
         feed.writeStream.foreachBatch(merge)

@@ -83,3 +83,10 @@ def test_hot_series_runs_in_small_windows(spark):
     got = fills.forward_fill(df, ["k"], "i", ["v"], fills.number_block("i", 500))
     assert got.where(F.col("v") != F.col("i") - F.col("i") % 3).count() == 0
     assert got.count() == 20000
+
+
+def test_repeated_days_invent_no_rows(spark):
+    rows = [("a", dt.date(2024, 1, d), v) for d, v in ((3, 1.0), (3, 5.0), (6, 4.0), (6, None))]
+    dense = fills.densify_daily(spark.createDataFrame(rows, "k string, d date, v double"), ["k"], "d")
+    assert sorted((r.d.day, r.v) for r in dense.collect() if r.v is not None) == [(3, 1.0), (3, 5.0), (6, 4.0)]
+    assert sorted(r.d.day for r in dense.collect()) == [3, 3, 4, 5, 6, 6]

@@ -110,7 +110,16 @@ def test_calendar(spark):
     assert rows[3] == pytest.approx(1.0) and rows[4] == pytest.approx(0.0)
 
 
-def test_tag_text(spark):
-    html = '<h1>first <b>one</b></h1><h1 class="x detail-title">second</h1>'
-    assert one(spark, "h string", [html], articles.tag_text(F.col("h"), "h1")) == ["first one"]
-    assert one(spark, "h string", [html], articles.tag_text(F.col("h"), "h1", "detail-title")) == ["second"]
+def test_date_texts_that_are_not_iso(spark):
+    texts = ["2024-01-05", "2024/01/05", "05/01/2024", "25/01/2024", "20240105", "2024.1.5", "2024-01-05T10:30", "2024/1/5 10:30:00", "5", "soon", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(casts.to_date(F.col("t")).alias("d")).collect()
+    day = dt.date(2024, 1, 5)
+    assert [r.d for r in rows] == [day, day, dt.date(2024, 5, 1), dt.date(2024, 1, 25), day, day, day, day, None, None, None]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert frame.agg(casts.unread_dates(F.col("t"))).first()[0] == 2
+
+
+def test_day_first_with_time_and_short_year(spark):
+    texts = ["05/01/2024 10:30", "3/4/24", "3-4-24 7:05:09", "31.12.1999", "chưa rõ", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(dates.day_first(F.col("t")).alias("d")).collect()
+    assert [r.d for r in rows] == ["2024-01-05", "2024-04-03", "2024-04-03", "1999-12-31", "chưa rõ", None]

@@ -199,3 +199,15 @@ def test_correlations_rank_by_strength(spark):
     df = spark.createDataFrame([(1.0, -1.0, 1.0), (2.0, -2.0, 1.5), (3.0, -3.0, 0.0)], "t double, a double, b double")
     got = profile.correlations(df, "t", ["b", "a", "absent"]).collect()
     assert [r["feature"] for r in got] == ["a", "b"] and got[0]["corr"] == pytest.approx(-1.0)
+
+
+def test_columns_with_dots_in_their_names(spark):
+    """Fertilizer ids come from the data and become column names."""
+    days = [dt.date(2023, 1 + m, 3) for m in range(8)]
+    rows = [("k", d, float(i), 2.0 * i, "a") for i, d in enumerate(days)]
+    name = "price_fert_NPK 16.16.8"
+    frame = spark.createDataFrame(rows, ["k", "d", "p", "f", "c"]).withColumnRenamed("f", name)
+    spec = panel.PanelSpec(keys=("k",), date="d", target="p", measures=(), categories=("c",))
+    last = panel.monthly_panel(frame, spec).orderBy(F.desc("d")).first()
+    assert last[name] == 14.0 and last[f"{name}_lag_1"] == 12.0 and last[f"{name}_roll_mean_2"] == 13.0
+    assert profile.correlations(frame, "p", [name]).first()["corr"] == pytest.approx(1.0)

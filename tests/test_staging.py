@@ -111,3 +111,26 @@ def test_star_files(spark):
     assert spark.table("dim_region").count() == 2
     with pytest.raises(Exception):
         star.load_star(spark, base + "-absent")
+
+
+def test_refresh_takes_null_keys_once(spark, tmp_path):
+    folder, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    schema = "url string, kind string, day date, price double"
+    rows = [("a", None, dt.date(2024, 1, 1), 1.0), (None, "x", dt.date(2024, 1, 1), 2.0), ("b", "x", None, 3.0)]
+    for _ in range(2):  # the same rows twice, then one more
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(folder)
+        got = ingest.refresh(spark, folder, schema, target, state, ["url", "kind"], "day")
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(rows, key=str)
+    more = ("b", "x", dt.date(2024, 1, 2), 4.0)
+    spark.createDataFrame([*rows, more], schema).write.mode("append").parquet(folder)
+    got = ingest.refresh(spark, folder, schema, target, state, ["url", "kind"], "day")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([*rows, more], key=str)
+
+
+def test_csv_with_line_feeds(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    rows = [(1, 'two\nlines, "quoted"'), (2, None), (3, "plain")]
+    files.write_csv(spark.createDataFrame(rows, "id int, data string"), path)
+    assert sorted(map(tuple, files.read_csv(spark, path, "id int, data string", multi_line=True).collect())) == rows
+    with pytest.raises(Exception):
+        files.read_csv(spark, path, "id int, data string", mode="FAILFAST").collect()
