@@ -2,9 +2,10 @@
 
 All fills share one pattern that keeps a long series from landing in a single task. The order
 column is cut into blocks (months for dates). A first aggregate keeps, per block, the earliest
-and latest known value; a window over these few block rows tells each block what lies before and
-after it. The two facts join the block as marker rows, so the row-level windows run inside one
-block only. Work per task is bounded by the block, whatever the length of the series.
+and latest known value, a second one the same per block of blocks. Windows over the blocks of one
+group and over the groups of a series tell each block what lies before and after it. The two facts
+join the block as marker rows, so the row-level windows run inside one block only. With blocks of
+n rows and groups of n blocks, a task sees n rows, n blocks, or a series' length / n^2 groups.
 """
 
 from __future__ import annotations
@@ -12,8 +13,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import types as T
 
-_SIDE, _BLOCK = "__side", "__block"
+_SIDE, _BLOCK, _GROUP = "__side", "__block", "__group"
+#: Number blocks that form one block of blocks.
+BLOCKS = 4_096
 
 
 def month_block(order: str) -> Column:
@@ -26,6 +30,34 @@ def number_block(order: str, size: int) -> Column:
     return F.floor(F.col(order) / F.lit(size))
 
 
+def _coarser(rows: DataFrame) -> Column:
+    """Block of blocks: years of months, runs of numbers."""
+    if isinstance(rows.schema[_BLOCK].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.trunc(F.col(_BLOCK), "YEAR")
+    return F.floor(F.col(_BLOCK) / F.lit(BLOCKS))
+
+
+def _ends(name: str, first: Column, last: Column, first_at: Column, last_at: Column) -> list[Column]:
+    """Earliest and latest known value of a group; places and values are aggregates of their own, of fixed width."""
+    pair = lambda at, v: F.when(at.isNotNull(), F.struct(at.alias("at"), v.alias("v")))
+    return [
+        pair(F.min(first_at), F.min_by(first, first_at)).alias(f"{name}__first"),
+        pair(F.max(last_at), F.max_by(last, last_at)).alias(f"{name}__last"),
+    ]
+
+
+def _carried(edges: DataFrame, keys: Sequence[str], block: str, values: Sequence[str]) -> DataFrame:
+    """``edges`` with ``b`` and ``a``: what the nearest blocks before and after hold, within ``keys``."""
+    before = Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(*keys).orderBy(F.col(block).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    return edges.select(
+        *keys,
+        block,
+        F.struct(*[F.last(f"{v}__last", ignorenulls=True).over(before).alias(v) for v in values]).alias("b"),
+        F.struct(*[F.last(f"{v}__first", ignorenulls=True).over(after).alias(v) for v in values]).alias("a"),
+    )
+
+
 def with_anchors(
     df: DataFrame,
     keys: Sequence[str],
@@ -45,24 +77,30 @@ def with_anchors(
     }
     rows = df.withColumns({_BLOCK: block, **{f"{v}__known": c for v, c in known.items()}})
 
-    edges = rows.groupBy(*keys, _BLOCK).agg(
-        *[F.min(f"{v}__known").alias(f"{v}__first") for v in values],
-        *[F.max(f"{v}__known").alias(f"{v}__last") for v in values],
+    at = {v: F.when(F.col(v).isNotNull(), F.col(order)) for v in values}
+    edges = rows.withColumn(_GROUP, _coarser(rows)).groupBy(*keys, _GROUP, _BLOCK).agg(
+        *[c for v in values for c in _ends(v, F.col(v), F.col(v), at[v], at[v])]
     )
-    before = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy(*keys).orderBy(F.col(_BLOCK).desc()).rowsBetween(
-        Window.unboundedPreceding, -1
+    # blocks of blocks first, then the blocks inside each: no window sees more than one of the two
+    groups = edges.groupBy(*keys, _GROUP).agg(
+        *[
+            c for v in values for c in _ends(
+                v, F.col(f"{v}__first.v"), F.col(f"{v}__last.v"), F.col(f"{v}__first.at"), F.col(f"{v}__last.at")
+            )
+        ]
     )
-    edges = edges.select(
-        *keys,
-        _BLOCK,
-        F.struct(
-            *[F.last(f"{v}__last", ignorenulls=True).over(before).alias(v) for v in values]
-        ).alias("b"),
-        F.struct(
-            *[F.last(f"{v}__first", ignorenulls=True).over(after).alias(v) for v in values]
-        ).alias("a"),
+    outer = _carried(groups, keys, _GROUP, values).select(
+        *[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)],
+        F.col(_GROUP).alias("__of"), F.col("b").alias("outer_b"), F.col("a").alias("outer_a"),
+    )
+    same = F.col(_GROUP).eqNullSafe(F.col("__of"))
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__key_{i}"))
+    nearest = lambda side: F.struct(
+        *[F.coalesce(F.col(f"{side}.{v}"), F.col(f"outer_{side}.{v}")).alias(v) for v in values]
     )
+    inner = _carried(edges, [*keys, _GROUP], _BLOCK, values).join(outer, same)
+    edges = inner.select(*keys, _BLOCK, nearest("b").alias("b"), nearest("a").alias("a"))
     # one marker sorts before the block's rows, one after them
     markers = edges.select(
         *keys,

@@ -195,6 +195,9 @@ gappy AS (
         WHERE day(ts) % 5 <> 0 GROUP BY 1, 2))"""
 
 
+EVERY_DAY = GAPPY.replace("WHERE day(ts) % 5 <> 0 ", "")
+
+
 def _last(c: str, rows: str, order: str = "date") -> str:
     return (
         f"last_value({c} IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY {order} "
@@ -419,7 +422,7 @@ SELECT event_id, regexp_extract(props, '(\\d+)', 1) AS ure,
     + " AS price_per_kg FROM r",
     "ffill": "SELECT event_type, event_id, last_value(CASE WHEN event_id % 7 <> 0 THEN value END IGNORE NULLS) "
     "OVER (PARTITION BY event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS value FROM events",
-    "neighbor_mean_fill": f"WITH {GAPPY}, masked AS (SELECT event_type, date, mean_value, "
+    "neighbor_mean_fill": f"WITH {EVERY_DAY}, masked AS (SELECT event_type, date, mean_value, "
     "CASE WHEN mean_value IS NOT NULL THEN max_value END AS max_value FROM gappy) "
     f"SELECT event_type, date, {_neighbour('mean_value')}, {_neighbour('max_value')} FROM masked",
     "linear_interp": LINEAR,

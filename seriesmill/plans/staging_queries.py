@@ -127,7 +127,7 @@ def ffill(spark, sf) -> DataFrame:
 def neighbor_mean_fill(spark, sf) -> DataFrame:
     return st.rounded(
         fills.neighbor_mean_fill(
-            st.gappy_daily(spark, sf), ["event_type"], "date", ["mean_value", "max_value"], cascade=True
+            st.gappy_daily(spark, sf, every_day=True), ["event_type"], "date", ["mean_value", "max_value"], cascade=True
         )
     )
 

@@ -132,12 +132,12 @@ def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def gappy_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily event values per type: every fifth day is absent, some values are unknown."""
+def gappy_daily(spark: SparkSession, sf_dir: str, every_day: bool = False) -> DataFrame:
+    """Daily event values per type, some unknown; every fifth day is absent unless ``every_day``."""
     rows = table(spark, sf_dir, "events").select(
         "event_type", F.col("ts").cast("date").alias("date"), "value"
     )
-    kept = rows.where(F.dayofmonth("date") % 5 != 0)
+    kept = rows if every_day else rows.where(F.dayofmonth("date") % 5 != 0)
     daily = kept.groupBy("event_type", "date").agg(
         F.avg("value").alias("mean_value"), F.max("value").alias("max_value")
     )
