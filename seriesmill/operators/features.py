@@ -73,8 +73,9 @@ def _ranges(df: DataFrame, brackets: Sequence[tuple]) -> dict[int, list[tuple]]:
         if low is not None:
             # halves, so that no difference overflows
             share = f"({v} / 2 - {low / 2!r}D) / {high / 2 - low / 2!r}D" if high / 2 > low / 2 else f"IF({v} > {low!r}D, 1D, 0D)"
-            part = f"CAST(least({RANGES - 1}, floor({share} * {RANGES})) AS INT)"
-            v = f"IF({v} BETWEEN {low!r}D AND {high!r}D, {v}, NULL)"
+            inside = f"{v} BETWEEN {low!r}D AND {high!r}D"
+            part = f"IF({inside}, CAST(floor(least({share}, 1D) * {RANGES - 1}) AS INT), 0)"
+            v = f"IF({inside}, {v}, NULL)"
         cells.append(f"named_struct('i', {i}, 'part', {part}, 'v', {v})")
     found: dict[int, list[tuple]] = {}
     for at in range(0, len(cells), AGGREGATES):

@@ -26,11 +26,15 @@ def test_median_is_exact(spark, xs):
     assert got["a"] == (pytest.approx(statistics.median(known)) if known else None)
 
 
-def test_median_when_the_bracket_misses(spark, monkeypatch):
-    # a coarse sketch must only cost another round, never a wrong answer
-    monkeypatch.setattr(features, "SKETCH_ACCURACY", 2_000)
-    df = spark.range(100_001).select((F.col("id") * 7919 % 100_001).cast("double").alias("x"))
-    assert features.exact_medians(df, ["x"]) == {"x": 50_000.0}
+def test_median_in_many_passes(spark, monkeypatch):
+    # few parts cost more passes, never a wrong answer; no pass gathers values or windows over a column
+    monkeypatch.setattr(features, "RANGES", 8)
+    df = spark.range(100_000).select(
+        (F.col("id") * 7919 % 100_000).cast("double").alias("x"), F.exp(F.col("id") % 600 - 300.0).alias("y"), F.lit(float("inf")).alias("z")
+    )
+    found = features.exact_medians(df, ["x", "y", "z"])
+    assert found["x"] == 49_999.5 and found["z"] is None
+    assert found["y"] == df.selectExpr("median(y)").first()[0]
 
 
 def test_median_with_one_hot_value(spark):
