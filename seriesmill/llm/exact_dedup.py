@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seriesmill.llm.sift import sift
 from seriesmill.llm.work import Work, whole_row
 
 #: Entries of a bucket before it is split.
@@ -111,7 +112,7 @@ def duplicate_groups(
     address: Callable[[Column], Column] = address,
     digest: Callable[[Column], Column] = digest,
 ) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, keep_id, group_size, kept, sha, bucket, chain.
+    """One row per row of ``docs`` (doc_id, text): doc_id, keep_id, group_size, kept, sha, bucket, chain, h.
 
     Texts are equal when their normalised bytes are. Of equal texts the row with the smallest
     doc_id stays, of rows that repeat doc_id and text one. A null text is empty, a null doc_id
@@ -148,8 +149,8 @@ def duplicate_groups(
         "doc_id", "keep_id", "group_size", (F.col("rid") == F.col("keep_rid")).alias("kept"), "sha", "bucket", "chain", "h"
     )
     if shared.isEmpty():
-        return found.drop("h")
-    return found.join(shared, "h", "left_anti").drop("h").unionByName(_by_bytes(docs, shared, work, address, digest))
+        return found
+    return found.join(shared, "h", "left_anti").unionByName(_by_bytes(docs, shared, work, address, digest))
 
 
 def _by_bytes(docs, shared, work, address, digest) -> DataFrame:
@@ -174,24 +175,29 @@ def _by_bytes(docs, shared, work, address, digest) -> DataFrame:
     groups = work.settle(groups, "compared-groups")
     return rows.join(groups, "norm").select(
         "doc_id", "keep_id", "group_size", (F.col("rid") == F.col("keep_rid")).alias("kept"),
-        digest(F.col("norm")).alias("sha"), F.lit(None).cast("long").alias("bucket"), F.lit(None).cast("int").alias("chain"),
+        digest(F.col("norm")).alias("sha"), F.lit(None).cast("long").alias("bucket"), F.lit(None).cast("int").alias("chain"), "h",
     )
 
 
 def keep_one(docs: DataFrame, work: Work) -> DataFrame:
     """``docs`` without its duplicates, all columns kept.
 
-    Rows that repeat doc_id and text are rare; only these are grouped with their texts.
+    Rows are looked up by doc_id and hash of the normalised text. Only rows that a bitmap of the dropped ones may
+    name are joined with them, so texts that stay are hardly ever shuffled; rows that repeat doc_id and text are
+    rare, and only these are grouped with their texts.
     """
     groups = work.settle(duplicate_groups(docs, work), "groups")
-    gone = groups.filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id"), F.col("sha").alias("gone_sha")).distinct()
-    gone = work.settle(gone, "gone")
-    per_row = groups.groupBy(F.col("doc_id").alias("again_id"), F.col("sha").alias("again_sha"))
-    again = per_row.agg(F.count("*").alias("n"), F.max("kept").alias("any")).filter("n > 1 AND any").select("again_id", "again_sha")
-    again = work.settle(again, "again")
-    rows = docs.select(whole_row(docs), F.col("doc_id").alias("id"), digest(normalised(F.col("text"))).alias("sha"))
-    kept = rows.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("sha") == F.col("gone_sha")), "left_anti").select("row.*")
+    per_row = groups.groupBy(F.col("doc_id").alias("of_id"), F.col("h").alias("of_h"), F.col("sha").alias("of_sha"))
+    changes = per_row.agg(F.count("*").alias("n"), F.max("kept").alias("kept")).filter("NOT kept OR n > 1")
+    changes = work.settle(changes, "changes")
+    rows = docs.select(whole_row(docs), F.col("doc_id").alias("id"), normalised(F.col("text")).alias("norm"))
+    rows = rows.withColumn("h", address(F.col("norm")))
+    rest, maybe = sift(rows, F.col("h"), changes, "of_h")
+    maybe = maybe.withColumn("sha", digest(F.col("norm")))
+    same = F.col("id").eqNullSafe(F.col("of_id")) & (F.col("h") == F.col("of_h")) & (F.col("sha") == F.col("of_sha"))
+    kept = rest.select("row.*").unionByName(maybe.join(changes.drop("n", "kept"), same, "left_anti").select("row.*"))
+    again = changes.filter("kept").drop("n", "kept")
     if again.isEmpty():
         return kept
-    twice = rows.join(again, F.col("id").eqNullSafe(F.col("again_id")) & (F.col("sha") == F.col("again_sha")), "left_semi")
+    twice = maybe.join(again, same, "left_semi")
     return kept.unionByName(twice.dropDuplicates(["id", "sha"]).select("row.*"))

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.llm.graph import components
+from seriesmill.llm.sift import sift
 from seriesmill.llm.work import Work, whole_row
 
 SHINGLE_WORDS = 3
@@ -197,7 +198,8 @@ def near_duplicates(
 def keep_one(docs: DataFrame, work: Work, width: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row of each group of near duplicates, the first by doc_id, all columns kept.
 
-    Decisions are looked up by doc_id and text; rows that repeat both are grouped once more, and only these.
+    Decisions are looked up by doc_id and text, by a join of only those rows that a bitmap of the changed ones may name; rows
+    that repeat both are grouped once more, and only these.
     """
     mark = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("mark")
     found = near_duplicates(docs.select("doc_id", "text"), work, width, max_bits, extra=(mark,))
@@ -207,8 +209,9 @@ def keep_one(docs: DataFrame, work: Work, width: int = SHINGLE_WORDS, max_bits:
     again = changes.filter("kept")
     rows = docs.select(whole_row(docs), F.col("doc_id").alias("id"), mark)
     same = F.col("id").eqNullSafe(F.col("of_id")) & (F.col("mark") == F.col("of_mark"))
-    kept = rows.join(changes.drop("kept", "n"), same, "left_anti").select("row.*")
+    rest, maybe = sift(rows, F.col("mark"), changes, "of_mark")
+    kept = rest.select("row.*").unionByName(maybe.join(changes.drop("kept", "n"), same, "left_anti").select("row.*"))
     if again.isEmpty():
         return kept
-    twice = rows.join(again.drop("kept", "n"), same, "left_semi")
+    twice = maybe.join(again.drop("kept", "n"), same, "left_semi")
     return kept.unionByName(twice.dropDuplicates(["id", "mark"]).select("row.*"))
