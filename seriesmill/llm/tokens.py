@@ -8,13 +8,18 @@ space next to a cut are encoded as a whole by the same tokenizer.
 
 from __future__ import annotations
 
-import struct
+import re
+import sys
+import types
+from array import array
 
-#: Pieces remembered per worker before the memory starts anew, and the longest that is remembered.
-CACHE_PIECES, CACHE_CHARS = 400_000, 48
+#: Pieces remembered per task in each of two generations, and the longest that is remembered.
+CACHE_PIECES, CACHE_CHARS = 200_000, 48
 #: Pieces up to this length skip the tokenizer's own bookkeeping of offsets.
 SHORT = 200
-_STATE: dict = {}
+_STATES: dict[str, types.SimpleNamespace] = {}
+_ODD_SPACE = re.compile(r" (?=\s|$)")
+_WORD_AND_MARKS = re.compile(r"([^\W\d_]+)([^\w\s]+)$")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -24,50 +29,70 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
-def _load(path: str) -> dict:
-    if _STATE.get("path") != path:
+def _load(path: str) -> types.SimpleNamespace:
+    """What a task remembers of ``path``. Functions travel by value, so the memory goes with the task."""
+    state = _STATES.get(path)
+    if state is None:
         import regex
         from public_tokenizers import PATTERN
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        _STATE.update(path=path, tokenizer=tokenizer, model=tokenizer.model, parts=regex.compile(PATTERN).findall, letters=_byte_letters(), cache={})
-    return _STATE
+        state = _STATES[path] = types.SimpleNamespace(
+            tokenizer=tokenizer, model=tokenizer.model, parts=regex.compile(PATTERN).findall, letters=_byte_letters(), young={}, old={}
+        )
+    return state
 
 
 def _pack(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
 
 
-def _piece(state: dict, word: str) -> bytes:
+def _part(state, part: str) -> bytes:
+    letters = part.replace(" ", "Ġ") if part.isascii() and part.isprintable() else part.encode().decode("latin-1").translate(state.letters)
+    return _pack([t.id for t in state.model.tokenize(letters)])
+
+
+def _piece(state, word: str) -> bytes:
     """Ids of a space and ``word``."""
     if len(word) > SHORT:
-        return _pack(state["tokenizer"].encode(" " + word, add_special_tokens=False).ids)
-    letters, tokenize = state["letters"], state["model"].tokenize
-    ids: list[int] = []
-    for part in [" " + word] if word.isalpha() else state["parts"](" " + word):
-        ids += [t.id for t in tokenize(part.encode().decode("latin-1").translate(letters))]
-    return _pack(ids)
+        return _pack(state.tokenizer.encode(" " + word, add_special_tokens=False).ids)
+    if word.isalpha():
+        return _part(state, " " + word)
+    both = _WORD_AND_MARKS.match(word)
+    if both and both[1].isalpha():  # one token class each
+        return _remembered(state, both[1], _piece) + _remembered(state, "\0" + both[2], _marks)
+    return b"".join([_part(state, p) for p in state.parts(" " + word)])
+
+
+def _marks(state, key: str) -> bytes:
+    return _part(state, key[1:])
+
+
+def _remembered(state, key: str, make) -> bytes:
+    got = state.young.get(key)
+    if got is None:
+        got = state.old.get(key) or make(state, key)
+        if len(key) <= CACHE_CHARS:
+            if len(state.young) >= CACHE_PIECES:
+                state.young, state.old = {}, state.young
+            state.young[key] = got
+    return got
 
 
 def encode(text: str, path: str) -> bytes:
     """Ids of ``text`` as little-endian unsigned 32-bit numbers."""
     state = _load(path)
+    if _ODD_SPACE.search(text) or "\0" in text:
+        return _pack(state.tokenizer.encode(text, add_special_tokens=False).ids)
     words = text.split(" ")
-    for w in words[1:]:
-        if not w or w[0].isspace():
-            return _pack(state["tokenizer"].encode(text, add_special_tokens=False).ids)
-    out = [_pack(state["tokenizer"].encode(words[0], add_special_tokens=False).ids)]
-    cache: dict[str, bytes] = state["cache"]
-    if len(cache) > CACHE_PIECES:
-        cache.clear()
-    known = cache.get
-    for word in words[1:]:
-        got = known(word)
-        if got is None:
-            got = _piece(state, word)
-            if len(word) <= CACHE_CHARS:
-                cache[word] = got
-        out.append(got)
-    return b"".join(out)
+    ids = list(map(state.young.get, words))
+    ids[0] = _pack(state.tokenizer.encode(words[0], add_special_tokens=False).ids)
+    if None in ids:
+        for at in [at for at, got in enumerate(ids) if got is None]:
+            ids[at] = _remembered(state, words[at], _piece)
+    return b"".join(ids)
