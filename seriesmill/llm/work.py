@@ -21,10 +21,10 @@ class Work:
         self.root = fresh_dir(spark, label)
         self.made = 0
 
-    def settle(self, df: DataFrame, name: str) -> DataFrame:
+    def settle(self, df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
         path = f"{self.root}/{self.made:03d}-{name}"
         self.made += 1
-        df.write.parquet(path)
+        df.write.parquet(path, compression=codec)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._settled_at = path
         return out
