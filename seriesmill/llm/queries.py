@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmill.llm import chat, embed_dedup, exact_dedup, lm_trie, mixing, packing, pii, quality, simhash, substring_dedup
+from seriesmill.llm import ann, chat, embed_dedup, exact_dedup, hard_negatives, lm_trie, mixing, packing, phrases, pii, quality, simhash, substring_dedup
 from seriesmill.llm.work import Work
 
 
@@ -92,4 +92,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
-QUERIES = [op1_mix_sources, op2_pack_sequences, op3_embedding_dedup, op4_personal_data, op5_quality, op6_exact_dedup, op7_chat_format, op8_substring_dedup, op9_lm_scores, op10_simhash]
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return hard_negatives.mine(vectors, Work(spark, "op11"))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_documents(spark, sf_dir).select("doc_id", "lang", "text"), Work(spark, "op12"))
+
+
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return ann.neighbours(vectors, Work(spark, "op13"))
+
+
+QUERIES = [op1_mix_sources, op2_pack_sequences, op3_embedding_dedup, op4_personal_data, op5_quality, op6_exact_dedup, op7_chat_format, op8_substring_dedup, op9_lm_scores, op10_simhash, op11_hard_negatives, op12_phrases, op13_nearest]

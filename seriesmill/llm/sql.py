@@ -32,4 +32,48 @@ SELECT conv_id, count(*) AS n_turns,
 FROM t GROUP BY conv_id
 """
 
-SQL = {"op3_embedding_dedup": OP3, "op6_exact_dedup": OP6, "op7_chat_format": OP7}
+#: Anchors against all rows; whole numbers of this size are exact in doubles.
+OP11 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings WHERE label IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0 AND (SELECT bool_and(coalesce(isfinite(x), false)) FROM unnest(embedding) t(x))),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.e, b.e)::BIGINT AS score
+  FROM v a JOIN v b ON len(a.e) = len(b.e) WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER w AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY rank <= 3
+"""
+
+OP12 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n-\r]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) AS phrase
+  FROM words, range(1, 5) t(k)),
+c AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM c WHERE k = 1 GROUP BY 1),
+cand AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM c WHERE k > 1 AND f >= 30),
+parts AS MATERIALIZED (
+  SELECT lang, phrase, a, cut, array_to_string(w[1 : cut], ' ') AS head, array_to_string(w[cut + 1 :], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM cand)),
+heads AS MATERIALIZED (SELECT p.*, x.f AS l FROM parts p LEFT JOIN c x ON x.lang = p.lang AND x.phrase = p.head),
+cuts AS (
+  SELECT p.lang, p.phrase, a, cut, l, y.f AS r, ((2000000::HUGEINT * a) // (l + y.f))::BIGINT AS score
+  FROM heads p LEFT JOIN c y ON y.lang = p.lang AND y.phrase = p.tail),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, array_to_string(w[i : i + z - 1], ' ') AS phrase, max(a) AS outside
+  FROM cand, range(2, 4) s(z), range(1, 4) t(i) WHERE z < k AND i + z - 1 <= k GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+FROM best JOIN total USING (lang) LEFT JOIN inside USING (lang, phrase)
+WHERE outside IS NULL OR 100 * outside < 80 * a
+QUALIFY rank <= 2000
+"""
+
+SQL = {"op11_hard_negatives": OP11, "op12_phrases": OP12, "op3_embedding_dedup": OP3, "op6_exact_dedup": OP6, "op7_chat_format": OP7}
