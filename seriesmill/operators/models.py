@@ -12,11 +12,12 @@ from dataclasses import dataclass
 from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from seriesmill import fixed
 from seriesmill.operators import features, folds, forecast, metrics, roles
+from seriesmill.operators.elastic_net import GramElasticNet
 from seriesmill.session import settle
 from seriesmill.sources import bundles, files
 
@@ -60,8 +61,7 @@ class Recipe:
 def regressors(s: ModelSettings = ModelSettings()) -> dict[str, Recipe]:
     forest = dict(minInstancesPerNode=s.min_leaf, maxDepth=s.depth, seed=s.seed)
     return {
-        "elastic_net": Recipe("onehot", True, lambda n: LinearRegression(
-            regParam=s.penalty, elasticNetParam=s.l1_share, maxIter=s.net_steps, standardization=False)),
+        "elastic_net": Recipe("onehot", True, lambda n: GramElasticNet(s.penalty, s.l1_share, s.net_steps)),
         "random_forest": Recipe("onehot", False, lambda n: RandomForestRegressor(
             numTrees=s.trees, featureSubsetStrategy="all", **forest)),
         "rf_no_bootstrap": Recipe("onehot", False, lambda n: RandomForestRegressor(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from seriesmill import fixed
 from seriesmill.functions import dates
 from seriesmill.operators import (
-    daily, features, folds, forecast, metrics, models, panel, profile, roles,
+    daily, elastic_net, features, fold_stats, folds, forecast, metrics, models, panel, profile, roles,
 )
 from seriesmill.plans import standins as st
 from seriesmill.session import fresh_dir, settle
@@ -324,6 +324,46 @@ def forecast_export(spark, sf) -> DataFrame:
     return forecast.export(forecast.last_value_forecast(st.rounded(_panel(spark, sf), PRICE_PLACES)))
 
 
+# --- every fold and horizon from one read ----------------------------------------------
+
+
+FOLD_SPLIT = (fixed.MIN_TRAIN_MONTHS, fixed.VALID_MONTHS, fixed.MAX_SPLITS, 0)
+
+
+def _fold_panel(spark, sf) -> DataFrame:
+    columns = {**panel.target_lag_columns(), **panel.target_columns()}
+    return settle(_with(spark, sf, columns, keep=("price_rice", *_measures())), "fold-panel")
+
+
+def fold_statistics(spark, sf) -> DataFrame:
+    """Median, mean and deviation after filling, per horizon, fold and column: what a fold's preparation learns."""
+    p = _fold_panel(spark, sf)
+    plan, r = fold_stats.plan_folds(p, "regression", fixed.HORIZONS, *FOLD_SPLIT), roles.infer_roles(p)
+    rows = settle(fold_stats.fold_rows(p, plan, r), "fold-rows")
+    medians = fold_stats.fold_medians(rows, r.numeric, plan.keys())
+    moments = fold_stats.fold_moments(rows, medians)
+    found = [(h, f, c, m, *moments[h, f][c]) for (h, f), known in medians.items() for c, m in known.items()]
+    return st.rounded(spark.createDataFrame(found, "horizon int, fold int, column_name string, median double, mean double, dev double"), 3)
+
+
+def fold_modes(spark, sf) -> DataFrame:
+    """Most frequent calendar and series texts per horizon and fold, from the classification rows."""
+    series = {"rice": F.col("rice_id"), "region": F.col("region_id").cast("string"), "month_text": F.when(F.month("date_id") != 3, F.date_format("date_id", "MM"))}
+    p = settle(_with(spark, sf, {**panel.target_columns(), **series}), "fold-texts")
+    plan, r = fold_stats.plan_folds(p, "classification", fixed.HORIZONS, *FOLD_SPLIT), roles.infer_roles(p)
+    rows = settle(fold_stats.fold_rows(p, plan, r), "fold-rows")
+    return fold_stats.fold_modes(rows, r.categorical, plan).select("horizon", "fold", F.col("c").alias("column_name"), F.col("v").alias("text"), F.col("n").alias("n_rows"))
+
+
+def elastic_net_folds(spark, sf) -> DataFrame:
+    """Elastic nets of all folds and horizons at the published settings: rows, whether each is at its optimum, and whether it holds the mean."""
+    p = _fold_panel(spark, sf)
+    nets = elastic_net.FoldElasticNet(p, fold_stats.plan_folds(p, "regression", fixed.HORIZONS, *FOLD_SPLIT))
+    fitted = spark.createDataFrame([(m.horizon, m.fold, m.train_rows, m.gap <= 1e-6) for m in nets.models.values()], "horizon int, fold int, train_rows long, optimal boolean")
+    held = nets.predictions().groupBy("horizon", "fold").agg(F.count("prediction").alias("valid_rows"), F.avg("y").alias("valid_mean"))
+    return st.rounded(fitted.join(held, ["horizon", "fold"]), PRICE_PLACES)
+
+
 # --- models --------------------------------------------------------------------------
 
 
@@ -384,6 +424,7 @@ QUERIES = [
     direction_labels, latest_row, monthly_panel, training_matrix, align_columns, infer_roles,
     series_length, value_counts, nonnull_profile, corr_with_target, expanding_folds, reg_metrics,
     cls_accuracy, score_union, score_summary, best_model, majority_class, impute_median, impute_mode,
-    one_hot, ordinal_encode, standardize, forecast_calendar, forecast_export, fit_regressors,
+    one_hot, ordinal_encode, standardize, forecast_calendar, forecast_export,
+    fold_statistics, fold_modes, elastic_net_folds, fit_regressors,
     fit_classifiers, evaluate_horizon, train_select, forecast_frame,
 ]

@@ -393,6 +393,28 @@ CORR = (
     + "], recursive := true) FROM w) ORDER BY abs(corr) DESC NULLS LAST, feature LIMIT 30"
 )
 
+
+
+def _per_horizon(label: str) -> str:
+    """Rows of ``src`` once per horizon with a known label and per fold, with the role of their month."""
+    y = f"CASE h WHEN 1 THEN {label}1 WHEN 2 THEN {label}2 ELSE {label}3 END"
+    return f"""labelled AS (SELECT CAST(h AS INTEGER) AS horizon, {y} AS y, src.* FROM src, (VALUES (1), (2), (3)) v(h) WHERE {y} IS NOT NULL),
+months AS (SELECT horizon, date_id AS month, row_number() OVER (PARTITION BY horizon ORDER BY date_id) AS r,
+  count(*) OVER (PARTITION BY horizon) AS n FROM (SELECT DISTINCT horizon, date_id FROM labelled)),
+cuts AS (SELECT horizon, cut, cut - greatest(12, n - 6) + 1 AS fold
+  FROM (SELECT DISTINCT horizon, n, CAST(unnest(generate_series(greatest(12, n - 6), n - 1)) AS BIGINT) AS cut FROM months)),
+fold AS (SELECT horizon, CAST(fold AS INTEGER) AS fold, month, CASE WHEN r <= cut THEN 'train' ELSE 'valid' END AS role
+  FROM months JOIN cuts USING (horizon) WHERE r <= cut + 1),
+member AS (SELECT l.*, fold, role FROM labelled l JOIN fold f ON l.horizon = f.horizon AND date_id = month)"""
+
+
+FOLD_NUMBERS = [*MEASURES, *T_LAGS]
+FOLD_SOURCE = f"""src AS (SELECT date_id, region_id, rice_id, {", ".join(NUMBERS)},
+  {", ".join(f"{e} AS {c}" for c, e in {**T_LAGS, **TARGETS}.items())} FROM monthly)"""
+FOLD_TEXTS = f"""src AS (SELECT date_id, rice_id AS rice, CAST(region_id AS VARCHAR) AS region,
+  CASE WHEN month(date_id) <> 3 THEN strftime(date_id, '%m') END AS month_text,
+  {", ".join(f"{e} AS {c}" for c, e in DIRECTIONS.items())} FROM monthly)"""
+
 FACT_COLUMNS = [
     "date_id", "region_id", "eco_id", "weather_id", "rice_id", "price_rice", "row_key", "fert_id", "price_fert",
     *fixed.CONTEXT_MEASURES,
@@ -525,4 +547,19 @@ SELECT o_orderkey, h AS horizon, CAST(date_trunc('month', CAST(o_orderdate AS DA
   CAST(month(date_trunc('month', o_orderdate) + to_months(h)) AS INTEGER) AS month
 FROM orders, (VALUES (1), (2), (3)) v(h)""",
     "forecast_export": FORECAST_EXPORT,
+    "fold_statistics": f"""WITH {TO_MONTHLY}, {FOLD_SOURCE}, {_per_horizon("target_t_plus_")},
+long AS (SELECT horizon, fold, unnest([{", ".join(f"'{c}'" for c in FOLD_NUMBERS)}]) AS column_name,
+  unnest([{", ".join(f"CAST({c} AS DOUBLE)" for c in FOLD_NUMBERS)}]) AS v FROM member WHERE role = 'train'),
+med AS (SELECT horizon, fold, column_name, median(v) AS m FROM long GROUP BY ALL)
+SELECT horizon, fold, column_name, {rnd("m", 3)} AS median, {rnd("avg(coalesce(v, m))", 3)} AS mean,
+  {rnd("CASE WHEN stddev_pop(coalesce(v, m)) = 0 THEN 1 ELSE stddev_pop(coalesce(v, m)) END", 3)} AS dev
+FROM long JOIN med USING (horizon, fold, column_name) GROUP BY horizon, fold, column_name, m""",
+    "fold_modes": f"""WITH {TO_MONTHLY}, {FOLD_TEXTS}, {_per_horizon("direction_t_plus_")},
+long AS (SELECT horizon, fold, unnest(['rice', 'region', 'month_text']) AS column_name, unnest([rice, region, month_text]) AS text
+  FROM member WHERE role = 'train'),
+n AS (SELECT horizon, fold, column_name, text, count(*) AS n_rows FROM long WHERE text IS NOT NULL GROUP BY ALL)
+SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY horizon, fold, column_name ORDER BY n_rows DESC, text) = 1""",
+    "elastic_net_folds": f"""WITH {TO_MONTHLY}, {FOLD_SOURCE}, {_per_horizon("target_t_plus_")}
+SELECT horizon, fold, count(*) FILTER (role = 'train') AS train_rows, true AS optimal, count(*) FILTER (role = 'valid') AS valid_rows,
+  {rnd("avg(y) FILTER (role = 'valid')", 3)} AS valid_mean FROM member GROUP BY ALL""",
 }
