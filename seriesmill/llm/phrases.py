@@ -25,7 +25,7 @@ from seriesmill.llm.work import Work
 LEAST, LONGEST, TOP = 30, 4, 2_000
 SHARDS = 4
 #: Text bytes of a chunk, and of a piece of a longer text.
-CHUNK, SEGMENT = 6 << 20, 4 << 20
+CHUNK, SEGMENT = 3 << 20, 2 << 20
 #: Sequences of a range of one shard that one task adds up, as planned from text bytes (about 0.5 different ones a byte).
 RANGE = 2 << 20
 #: Bits of a sequence hash, of the bitmap and of one of its rows.
@@ -153,8 +153,8 @@ def local_counts(docs: DataFrame, ranges: int) -> DataFrame:
     return docs.select("shard", "support", "lang", "text").mapInArrow(count, "shard int, range int, support int, hashes binary, counts binary")
 
 
-def frequent_bits(counts: DataFrame) -> DataFrame:
-    """(bit_row, bits): the bitmap rows of the sequences with local support in some shard."""
+def frequent_bits(counts: DataFrame, tasks: int) -> DataFrame:
+    """(bit_row, bits): the bitmap rows of the sequences with local support in some shard; ``tasks`` follow the text, so each stays small."""
 
     def mine(group: pa.Table) -> pa.Table:
         bits = []
@@ -176,7 +176,7 @@ def frequent_bits(counts: DataFrame) -> DataFrame:
         marks[np.searchsorted(rows, bit >> ROW_BITS), bit & ((1 << ROW_BITS) - 1)] = 1
         return pa.table({"bit_row": pa.array(rows), "bits": pa.array([m.tobytes() for m in np.packbits(marks, axis=1, bitorder="little")], pa.binary())})
 
-    mined = counts.groupBy("shard", "range").applyInArrow(mine, "bit_row long, bits binary")
+    mined = counts.repartition(tasks, "shard", "range").groupBy("shard", "range").applyInArrow(mine, "bit_row long, bits binary")
     return mined.groupBy("bit_row").agg(F.bitmap_or_agg("bits").alias("bits"))
 
 
@@ -247,7 +247,7 @@ def frequent_phrases(docs: DataFrame, work: Work, least: int = LEAST, shards: in
     supports = work.settle(local_supports(rows, least), "supports")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(1, -(-size // 2 // shards // RANGE))
-    marks = bitmap(work.settle(frequent_bits(local_counts(rows.join(supports, ["lang", "shard"]), ranges)), "bitmap"))
+    marks = bitmap(work.settle(frequent_bits(local_counts(rows.join(supports, ["lang", "shard"]), ranges), shards * ranges), "bitmap"))
     counted = marked_counts(rows, marks).groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
     return work.settle(counted.filter(f"k = 0 OR n >= {least}"), "frequent")
 

@@ -67,7 +67,7 @@ def test_full_bitmap_changes_nothing(spark, work, monkeypatch):
     """A bitmap of 256 bits, all set: every sequence is counted, the result stays."""
     monkeypatch.setattr(phrases, "MAP_BITS", 8)
     monkeypatch.setattr(phrases, "ROW_BITS", 5)
-    monkeypatch.setattr(phrases, "frequent_bits", lambda counts: counts.sparkSession.createDataFrame([], "bit_row long, bits binary"))
+    monkeypatch.setattr(phrases, "frequent_bits", lambda counts, tasks: counts.sparkSession.createDataFrame([], "bit_row long, bits binary"))
     monkeypatch.setattr(phrases, "bitmap", lambda rows: phrases.np.full(32, 255, phrases.np.uint8))
     rows = corpus()
     assert sorted(map(tuple, phrases.collocations(spark.createDataFrame(rows, SCHEMA), work).collect())) == plain(rows, 30)
