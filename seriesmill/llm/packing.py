@@ -49,8 +49,8 @@ def tokenized_pieces(docs: DataFrame, vocabulary: str, work: Work, capacity: int
         for part in parts:
             texts = part.column("text")
             rows, owner = [], []
-            for at in range(part.num_rows):
-                ids = tokens.encode(texts[at].as_py() or "", vocabulary) + end
+            for at, found in enumerate(tokens.encode_all((t.as_py() or "" for t in texts), vocabulary)):
+                ids = found + end
                 for number, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                     own = ids[4 * start : 4 * (start + length)]
                     rows.append((number, start, length, zlib.crc32(own), task, seen[length], own if with_ids else None))

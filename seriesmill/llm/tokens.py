@@ -2,7 +2,7 @@
 
 The tokenizer's pre-tokenisation never lets a token reach from before a space into the visible
 character after it. A text is therefore cut before each single space that is followed by a visible
-character, and each piece goes through the tokenizer's model once and is remembered. Texts with any other white
+character; the different pieces of many texts are found in Arrow, and each goes through the tokenizer's model once and is remembered. Texts with any other white
 space next to a cut are encoded as a whole by the same tokenizer.
 """
 
@@ -12,11 +12,20 @@ import re
 import sys
 import types
 from array import array
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Pieces remembered per task in each of two generations, and the longest that is remembered.
 CACHE_PIECES, CACHE_CHARS = 200_000, 48
+#: Characters whose words are looked up together.
+GROUP_CHARS = 1 << 23
 #: Pieces up to this length skip the tokenizer's own bookkeeping of offsets.
 SHORT = 200
+#: Marks that most words end with; others are found by a pattern.
+_MARKS = ".,;:!?)"
 _STATES: dict[str, types.SimpleNamespace] = {}
 _ODD_SPACE = re.compile(r" (?=\s|$)")
 _WORD_AND_MARKS = re.compile(r"([^\W\d_]+)([^\w\s]+)$")
@@ -40,7 +49,7 @@ def _load(path: str) -> types.SimpleNamespace:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         state = _STATES[path] = types.SimpleNamespace(
-            tokenizer=tokenizer, model=tokenizer.model, parts=regex.compile(PATTERN).findall, letters=_byte_letters(), young={}, old={}
+            tokenizer=tokenizer, model=tokenizer.model, parts=regex.compile(PATTERN).findall, letters=_byte_letters(), young={}, old={}, marks={}
         )
     return state
 
@@ -63,36 +72,97 @@ def _piece(state, word: str) -> bytes:
         return _pack(state.tokenizer.encode(" " + word, add_special_tokens=False).ids)
     if word.isalpha():
         return _part(state, " " + word)
-    both = _WORD_AND_MARKS.match(word)
-    if both and both[1].isalpha():  # one token class each
-        return _remembered(state, both[1], _piece) + _remembered(state, "\0" + both[2], _marks)
     return b"".join([_part(state, p) for p in state.parts(" " + word)])
 
 
-def _marks(state, key: str) -> bytes:
-    return _part(state, key[1:])
-
-
-def _remembered(state, key: str, make) -> bytes:
-    got = state.young.get(key)
-    if got is None:
-        got = state.old.get(key) or make(state, key)
-        if len(key) <= CACHE_CHARS:
-            if len(state.young) >= CACHE_PIECES:
-                state.young, state.old = {}, state.young
-            state.young[key] = got
-    return got
+def _learn(state, words: list[str]) -> list[bytes]:
+    """Ids of a space and each word. A word and the marks behind it are token classes of their own: they are remembered apart."""
+    young, old, marks, tokenize, letters = state.young, state.old, state.marks, state.model.tokenize, state.letters
+    out = []
+    for word in words:
+        stem, tail = word, ""
+        if not word.isalpha():
+            stem = word.rstrip(_MARKS)
+            if not stem.isalpha():
+                both = _WORD_AND_MARKS.match(word)
+                stem = both[1] if both else word
+            tail = word[len(stem) :] if stem.isalpha() and len(word) <= SHORT else ""
+            stem = stem if tail else word
+        got = young.get(stem)
+        if got is None:
+            got = old.get(stem)
+            if got is None:
+                if len(stem) <= SHORT and stem.isalpha():
+                    found = tokenize("\u0120" + (stem if stem.isascii() else stem.encode().decode("latin-1").translate(letters)))
+                    got = _pack([t.id for t in found])
+                else:
+                    got = _piece(state, stem)
+            if len(stem) <= CACHE_CHARS:
+                young[stem] = got
+        if tail:
+            ids = marks.get(tail)
+            if ids is None:
+                ids = _part(state, tail)
+                if len(marks) < CACHE_PIECES and len(tail) <= CACHE_CHARS:
+                    marks[tail] = ids
+            got += ids
+        out.append(got)
+    if len(young) >= CACHE_PIECES:
+        state.young, state.old = {}, young
+    return out
+
+
+def _encode_group(state, texts: list[str]) -> list[bytes]:
+    """Ids of usual texts: their words are told apart in Arrow, and each different word is looked up once."""
+    split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+    offsets = split.offsets.to_numpy()
+    coded = split.values.dictionary_encode()
+    words, code = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+    first = [words[c] for c in code[offsets[:-1]].tolist()]
+    code[offsets[:-1]] = len(words) + np.arange(len(texts))
+    pieces = list(map(state.young.get, words))
+    new = [at for at, got in enumerate(pieces) if got is None]
+    for at, got in zip(new, _learn(state, [words[at] for at in new])):
+        pieces[at] = got
+    heads: dict[str, bytes] = {}  # a text's first word has no space before it
+    for word in first:
+        if word not in heads:
+            heads[word] = b"".join([_part(state, p) for p in state.parts(word)])
+    pieces += [heads[word] for word in first]
+    ids = list(map(pieces.__getitem__, code.tolist()))
+    bounds = offsets.tolist()
+    return [b"".join(ids[s:e]) for s, e in zip(bounds, bounds[1:])]
+
+
+def encode_all(texts: Iterable[str], path: str) -> Iterator[bytes]:
+    """Ids of each text in order, as little-endian unsigned 32-bit numbers; about ``GROUP_CHARS`` of text are held at a time.
+
+    A longer text is taken in parts that begin with a space: what is before its first word is empty and has no ids. Only a long
+    text with odd white space goes through the tokenizer as a whole.
+    """
+    state = _load(path)
+    held: list[str] = []
+    size = 0
+    for text in texts:
+        odd, long = _ODD_SPACE.search(text) or "\0" in text, len(text) > GROUP_CHARS
+        if held and (odd or long or size + len(text) > GROUP_CHARS):
+            yield from _encode_group(state, held)
+            held, size = [], 0
+        if odd:
+            yield _pack(state.tokenizer.encode(text, add_special_tokens=False).ids)
+        elif long:
+            cuts, at = [0], text.find(" ", GROUP_CHARS)
+            while at > 0:
+                cuts.append(at)
+                at = text.find(" ", at + GROUP_CHARS)
+            yield b"".join(_encode_group(state, [text[s:e]])[0] for s, e in zip(cuts, [*cuts[1:], len(text)]))
+        else:
+            held.append(text)
+            size += len(text)
+    if held:
+        yield from _encode_group(state, held)
 
 
 def encode(text: str, path: str) -> bytes:
-    """Ids of ``text`` as little-endian unsigned 32-bit numbers."""
-    state = _load(path)
-    if _ODD_SPACE.search(text) or "\0" in text:
-        return _pack(state.tokenizer.encode(text, add_special_tokens=False).ids)
-    words = text.split(" ")
-    ids = list(map(state.young.get, words))
-    ids[0] = _pack(state.tokenizer.encode(words[0], add_special_tokens=False).ids)
-    if None in ids:
-        for at in [at for at, got in enumerate(ids) if got is None]:
-            ids[at] = _remembered(state, words[at], _piece)
-    return b"".join(ids)
+    """Ids of one text."""
+    return next(encode_all([text], path))

@@ -24,6 +24,14 @@ def test_ids_are_the_tokenizers(text):
     assert np.frombuffer(tokens.encode(text, PATH), "<u4").tolist() == WHOLE.encode(text, add_special_tokens=False).ids
 
 
+def test_many_texts_and_long_ones_at_once(monkeypatch):
+    """Texts in groups, texts cut into parts, and odd ones between them: each the ids of the tokenizer."""
+    monkeypatch.setattr(tokens, "GROUP_CHARS", 50)
+    texts = [r[1] or "" for r in odd_rows() if len(r[1] or "") < 20_000] + ["", " a", "a  b", "\0 x", " ".join(["long", "text,", "it's"] * 90), "x" * 300, " \1long", "\1", "y\nz " * 30 + "end"]
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in tokens.encode_all(texts, PATH)]
+    assert got == [WHOLE.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 40), max_size=200))
 def test_plan_uses_every_piece_once(lengths):
