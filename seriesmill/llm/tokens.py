@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Pieces remembered per task in each of two generations, and the longest that is remembered.
+#: Pieces remembered per worker process in each of two generations, and the longest that is remembered.
 CACHE_PIECES, CACHE_CHARS = 200_000, 48
 #: Characters whose words are looked up together.
 GROUP_CHARS = 1 << 23
@@ -26,7 +26,6 @@ GROUP_CHARS = 1 << 23
 SHORT = 200
 #: Marks that most words end with; others are found by a pattern.
 _MARKS = ".,;:!?)"
-_STATES: dict[str, types.SimpleNamespace] = {}
 _ODD_SPACE = re.compile(r" (?=\s|$)")
 _WORD_AND_MARKS = re.compile(r"([^\W\d_]+)([^\w\s]+)$")
 
@@ -39,8 +38,12 @@ def _byte_letters() -> dict[int, str]:
 
 
 def _load(path: str) -> types.SimpleNamespace:
-    """What a task remembers of ``path``. Functions travel by value, so the memory goes with the task."""
-    state = _STATES.get(path)
+    """What a worker process remembers of ``path``: as much as within one task, and kept for its next one.
+
+    Functions travel by value and lose their globals with the task; the memory lies in a module of its own. It only saves time.
+    """
+    memory = vars(sys.modules.setdefault("seriesmill_pieces", types.ModuleType("seriesmill_pieces")))
+    state = memory.get(path)
     if state is None:
         import regex
         from public_tokenizers import PATTERN
@@ -48,7 +51,7 @@ def _load(path: str) -> types.SimpleNamespace:
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        state = _STATES[path] = types.SimpleNamespace(
+        state = memory[path] = types.SimpleNamespace(
             tokenizer=tokenizer, model=tokenizer.model, parts=regex.compile(PATTERN).findall, letters=_byte_letters(), young={}, old={}, marks={}
         )
     return state
