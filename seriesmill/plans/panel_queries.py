@@ -12,7 +12,7 @@ from seriesmill.operators import (
 )
 from seriesmill.plans import standins as st
 from seriesmill.session import fresh_dir, settle
-from seriesmill.sources import star
+from seriesmill.sources import files, star
 
 SERIES = ["region_id", "rice_id"]
 PRICE_PLACES = 3
@@ -324,6 +324,16 @@ def forecast_export(spark, sf) -> DataFrame:
     return forecast.export(forecast.last_value_forecast(st.rounded(_panel(spark, sf), PRICE_PLACES)))
 
 
+def forecast_sink(spark, sf) -> DataFrame:
+    """The report layout as it is read back from its CSV file, which a second run replaces."""
+    made = forecast.last_value_forecast(st.rounded(_panel(spark, sf), PRICE_PLACES))
+    folder = fresh_dir(spark, "forecast")
+    forecast.write_forecast(made.limit(0), folder)
+    forecast.write_forecast(made, folder)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in forecast.export(made).schema)
+    return files.read_csv(spark, f"{folder}/forecast_export", schema)
+
+
 # --- every fold and horizon from one read ----------------------------------------------
 
 
@@ -424,7 +434,7 @@ QUERIES = [
     direction_labels, latest_row, monthly_panel, training_matrix, align_columns, infer_roles,
     series_length, value_counts, nonnull_profile, corr_with_target, expanding_folds, reg_metrics,
     cls_accuracy, score_union, score_summary, best_model, majority_class, impute_median, impute_mode,
-    one_hot, ordinal_encode, standardize, forecast_calendar, forecast_export,
+    one_hot, ordinal_encode, standardize, forecast_calendar, forecast_export, forecast_sink,
     fold_statistics, fold_modes, elastic_net_folds, fit_regressors,
     fit_classifiers, evaluate_horizon, train_select, forecast_frame,
 ]

@@ -547,6 +547,7 @@ SELECT o_orderkey, h AS horizon, CAST(date_trunc('month', CAST(o_orderdate AS DA
   CAST(month(date_trunc('month', o_orderdate) + to_months(h)) AS INTEGER) AS month
 FROM orders, (VALUES (1), (2), (3)) v(h)""",
     "forecast_export": FORECAST_EXPORT,
+    "forecast_sink": FORECAST_EXPORT,
     "fold_statistics": f"""WITH {TO_MONTHLY}, {FOLD_SOURCE}, {_per_horizon("target_t_plus_")},
 long AS (SELECT horizon, fold, unnest([{", ".join(f"'{c}'" for c in FOLD_NUMBERS)}]) AS column_name,
   unnest([{", ".join(f"CAST({c} AS DOUBLE)" for c in FOLD_NUMBERS)}]) AS v FROM member WHERE role = 'train'),
