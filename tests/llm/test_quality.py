@@ -70,3 +70,16 @@ def test_calibration_is_a_temperature():
     p = 1 / (1 + np.exp(-model.logits(x) / model.temperature))
     middle = (p > 0.4) & (p < 0.6)
     assert abs(p.mean() - y.mean()) < 0.05 and model.temperature > 0 and abs(p[middle].mean() - y[middle].mean()) < 0.15
+
+
+def test_query_knows_the_fold_of_every_row(spark, tmp_path):
+    """The registered query over tables in files: a row without an id is scored and is not held out."""
+    from seriesmill.llm import queries
+
+    docs, labels = frames(spark)
+    nameless = spark.createDataFrame([(None, "no id", "s", "x")], docs.schema)
+    docs.unionByName(nameless).write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    rows = queries.op5_quality(spark, str(tmp_path)).collect()
+    assert len(rows) == docs.count() + 1 and all(r.held_out is not None for r in rows)
+    assert [r.held_out for r in rows if r.doc_id is None] == [False]
