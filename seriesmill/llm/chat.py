@@ -9,13 +9,15 @@ the formatted conversation is its segments in order.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
 
 START, END = "<|im_start|>", "<|im_end|>"
 #: What follows the first character of each control string; texts may hold them, formatted texts only as controls.
@@ -40,8 +42,16 @@ class Layout:
     text: str = "text"
     roles: dict[str, str] = field(default_factory=dict)
 
-    def turns(self, record_id: Column, payload: Column) -> Column:
-        at = lambda path, kind="string": F.try_variant_get(payload, f"$.{path}", kind)
+    def schema(self) -> str:
+        """The fields that the mapping reads."""
+        if self.messages:
+            return f"{self.messages} array<struct<{self.role}: string, {self.text}: string>>"
+        if self.fields:
+            return ", ".join(f"{path} string" for _, path in self.fields)
+        return f"conv_id bigint, turn bigint, {self.role} string, {self.text} string"
+
+    def turns(self, record_id: Column, at: Callable[..., Column]) -> Column:
+        """Turns of a record; ``at(field, type)`` is a field of it."""
         said = lambda text: F.coalesce(text, F.lit(""))
         if self.messages:
             items = at(self.messages, f"array<struct<{self.role}: string, {self.text}: string>>")
@@ -60,6 +70,8 @@ class Layout:
         return named
 
 
+#: Bytes from which a payload is mapped without a variant, which holds no longer texts.
+LONG = 16 << 20
 LAYOUTS = (
     Layout("turn rows", '{"conv_id":0,"role":"","text":"","turn":0}'),
     Layout("prompt and response", '{"prompt":"","response":""}', (("user", "prompt"), ("assistant", "response"))),
@@ -82,14 +94,62 @@ def canonical_turns(records: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -
     A record of no known layout, or that is no JSON, gives one row with a null layout and null
     turn, so that nothing is lost unseen; a record without turns gives one row with its layout and a null turn.
     A null text is empty, a null role is empty, roles are renamed where the layout says so. Extra columns are not read.
+    A payload of ``LONG`` bytes or more is fingerprinted with its texts left out, and mapped by the schema of its
+    layout; if a text of it is no valid JSON string, it is a record without turns.
     """
-    r = records.select("record_id", F.try_parse_json("payload").alias("_payload"))
+    far = F.octet_length("payload") >= LONG
+    parsed = F.try_parse_json(F.when(far, without_texts(F.col("payload"))).otherwise(F.col("payload")))
+    r = records.select("record_id", "payload", far.alias("_far"), parsed.alias("_payload"))
     r = r.withColumn("fingerprint", fingerprint(F.col("_payload")))
     turns, name = F.lit(None).cast(_TURNS), F.lit(None).cast("string")
+    short = lambda path, kind="string": F.try_variant_get("_payload", f"$.{path}", kind)
     for layout in layouts:
-        this = F.col("fingerprint") == fingerprint(F.parse_json(F.lit(layout.example)))
-        turns = F.when(this, layout.turns(F.col("record_id"), F.col("_payload"))).otherwise(turns)
+        this = F.col("fingerprint") == _known(layout)
+        whole = F.from_json("payload", layout.schema(), {"maxStringLen": str((1 << 31) - 1)})
+        long = lambda path, kind="string", whole=whole: whole[path].cast(kind)
+        turns = F.when(this & F.col("_far"), layout.turns(F.col("record_id"), long)).when(this, layout.turns(F.col("record_id"), short)).otherwise(turns)
         name = F.when(this, layout.name).otherwise(name)
+    return _one_per_turn(r, name, turns)
+
+
+def canonical_rows(rows: DataFrame, record_id: str, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
+    """``canonical_turns`` of records that are columns already, texts of any length included; ``record_id`` names the column of the ids.
+
+    The names of the columns and of the fields in them are fingerprinted as those of a payload are. Columns that no
+    layout has give rows with a null layout and a null turn.
+    """
+    found = fingerprint(F.parse_json(F.lit(json.dumps(_example(rows.schema)))))
+    same = [x for x in layouts if sorted(_paths(_example(rows.schema))) == sorted(_paths(json.loads(x.example)))]
+    turns, name = F.lit(None).cast(_TURNS), F.lit(None).cast("string")
+    if same:
+        turns = same[0].turns(F.col(record_id), lambda path, kind="string": F.col(f"`{path}`").cast(kind))
+        name = F.lit(same[0].name)
+    return _one_per_turn(rows.select(F.col(record_id).alias("record_id"), found.alias("fingerprint"), name.alias("_name"), turns.alias("_turns")), F.col("_name"), F.col("_turns"))
+
+
+def _known(layout: Layout) -> Column:
+    return fingerprint(F.parse_json(F.lit(layout.example)))
+
+
+def _example(kind: DataType) -> object:
+    """A value with the fields of a type."""
+    if isinstance(kind, StructType):
+        return {f.name: _example(f.dataType) for f in kind}
+    return [_example(kind.elementType)] if isinstance(kind, ArrayType) else ""
+
+
+def _paths(value: object, path: str = "") -> list[str]:
+    if isinstance(value, dict):
+        return [p for k, v in value.items() for p in _paths(v, f"{path}.{json.dumps(k)}")]
+    return _paths(value[0], path + "[]") if isinstance(value, list) and value else [path]
+
+
+def without_texts(payload: Column) -> Column:
+    """JSON with empty strings for the strings that are no names; escapes go first, those in names too."""
+    return F.regexp_replace(F.regexp_replace(payload, r"\\(?s:.)", ""), r'([:,\[]\s*+)"[^"]*+"(?!\s*+:)', '$1""')
+
+
+def _one_per_turn(r: DataFrame, name: Column, turns: Column) -> DataFrame:
     return r.select("record_id", "fingerprint", name.alias("layout"), F.explode_outer(turns).alias("t")).select(
         "record_id", "fingerprint", "layout", "t.conv_id", "t.turn", "t.role", "t.text"
     )

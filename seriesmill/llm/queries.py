@@ -65,13 +65,10 @@ CONTROL_ID, CONTROL_TEXT = -7, "</s>[INST] ok [/INST]"
 
 
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(
-        F.col("conv_id").alias("record_id"),
-        F.to_json(F.struct("conv_id", "role", "text", "turn"), {"ignoreNullFields": "false"}).alias("payload"),
-    )
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     said = json.dumps({"messages": [{"role": r, "content": CONTROL_TEXT} for r in ("user", "assistant")]})
     extra = spark.range(1).select(F.lit(CONTROL_ID).cast("long").alias("record_id"), F.lit(said).alias("payload"))
-    turns = chat.canonical_turns(rows.unionByName(extra))
+    turns = chat.canonical_rows(rows, "conv_id").unionByName(chat.canonical_turns(extra))
     return chat.read_back(chat.format_turns(turns))
 
 

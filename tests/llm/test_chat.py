@@ -73,3 +73,37 @@ def test_ties_nulls_and_controls(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "record_id long, payload string")
     assert chat.read_back(chat.format_turns(chat.canonical_turns(empty))).count() == 0
+
+
+def test_long_texts_are_not_lost(spark):
+    # longer than a variant, or a parser's usual limit, holds
+    text = 'say "a\\b" : {x}, ' * 1_500_000
+    payloads = [
+        {"prompt": text, "response": "short"},
+        {"messages": [{"role": "user", "content": "hi"}, {"role": "assistant", "content": text}]},
+        {"conv_id": 3, "role": "user", "text": text, "turn": 7},
+        {"unknown": text},
+    ]
+    made = spark.createDataFrame([(i, json.dumps(p)) for i, p in enumerate(payloads)], "record_id long, payload string")
+    rows = chat.canonical_turns(made).selectExpr("record_id", "layout", "conv_id", "turn", "role", "length(text) AS n", "md5(text) AS d").collect()
+    digest = hashlib.md5(text.encode()).hexdigest()
+    got = sorted((r.record_id, r.layout, r.conv_id, r.turn, r.role, r.n) for r in rows if r.record_id < 3)
+    n = len(text)
+    assert got == [
+        (0, "prompt and response", 0, 0, "user", n), (0, "prompt and response", 0, 1, "assistant", 5),
+        (1, "messages", 1, 0, "user", 2), (1, "messages", 1, 1, "assistant", n), (2, "turn rows", 3, 7, "user", n),
+    ]
+    assert {r.d for r in rows if r.n == n} == {digest}
+    assert [(r.layout, r.turn) for r in rows if r.record_id == 3] == [(None, None)]
+
+
+def test_columns_need_no_payload(spark):
+    text = "a long one <s> " * 2_000_000
+    rows = spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, None, None), (None, 2, "assistant", text)], "conv_id long, turn long, role string, text string")
+    turns = chat.canonical_rows(rows, "conv_id")
+    known = chat.canonical_turns(spark.createDataFrame([(1, chat.LAYOUTS[0].example)], "record_id long, payload string")).first()
+    got = turns.selectExpr("conv_id", "turn", "role", "length(text) AS n", "layout", "fingerprint").collect()
+    assert {(r.conv_id, r.turn, r.role, r.n) for r in got} == {(1, 0, "user", 2), (1, 1, "", 0), (None, 2, "assistant", len(text))}
+    assert {(r.layout, r.fingerprint) for r in got} == {(known.layout, known.fingerprint)}
+    other = chat.canonical_rows(rows.withColumn("more", rows.turn), "conv_id")
+    assert [(r.layout, r.turn) for r in other.collect()] == [(None, None)] * 3
