@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from seriesmill import fixed
 from seriesmill.operators import features, folds, forecast, metrics, roles
 from seriesmill.operators.elastic_net import GramElasticNet
+from seriesmill.operators.extra_trees import ExtraTrees
 from seriesmill.session import settle
 from seriesmill.sources import bundles, files
 
@@ -64,8 +65,7 @@ def regressors(s: ModelSettings = ModelSettings()) -> dict[str, Recipe]:
         "elastic_net": Recipe("onehot", True, lambda n: GramElasticNet(s.penalty, s.l1_share, s.net_steps)),
         "random_forest": Recipe("onehot", False, lambda n: RandomForestRegressor(
             numTrees=s.trees, featureSubsetStrategy="all", **forest)),
-        "rf_no_bootstrap": Recipe("onehot", False, lambda n: RandomForestRegressor(
-            numTrees=s.wide_trees, bootstrap=False, featureSubsetStrategy="onethird", **forest)),
+        "extra_trees": Recipe("onehot", False, lambda n: ExtraTrees(s.wide_trees, s.min_leaf, s.depth, s.seed)),
         "gradient_boosting": Recipe("ordinal", False, lambda n: GBTRegressor(
             maxIter=s.boosts, stepSize=s.rate, maxDepth=s.boost_depth, seed=s.seed)),
     }
@@ -78,8 +78,7 @@ def classifiers(s: ModelSettings = ModelSettings()) -> dict[str, Recipe]:
             maxIter=s.logit_steps, regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False)),
         "random_forest_cls": Recipe("onehot", False, lambda n: RandomForestClassifier(
             numTrees=s.trees, featureSubsetStrategy="sqrt", **forest)),
-        "rf_no_bootstrap_cls": Recipe("onehot", False, lambda n: RandomForestClassifier(
-            numTrees=s.wide_trees, bootstrap=False, featureSubsetStrategy="sqrt", **forest)),
+        "extra_trees_cls": Recipe("onehot", False, lambda n: ExtraTrees(s.wide_trees, s.min_leaf, s.depth, s.seed, classes=True)),
         "gradient_boosting_cls": Recipe("ordinal", False, lambda n: GBTClassifier(
             maxIter=s.boosts, stepSize=s.rate, maxDepth=s.boost_depth, seed=s.seed)),
     }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from seriesmill import fixed
 from seriesmill.functions import dates
 from seriesmill.operators import (
-    daily, elastic_net, features, fold_stats, folds, forecast, metrics, models, panel, profile, roles,
+    daily, elastic_net, extra_trees, features, fold_stats, folds, forecast, metrics, models, panel, profile, roles,
 )
 from seriesmill.plans import standins as st
 from seriesmill.session import fresh_dir, settle
@@ -374,6 +374,20 @@ def elastic_net_folds(spark, sf) -> DataFrame:
     return st.rounded(fitted.join(held, ["horizon", "fold"]), PRICE_PLACES)
 
 
+def extra_trees_level(spark, sf) -> DataFrame:
+    """First split of each of 25 extremely randomised trees on measures and price lags (absent ones as 0), for the next month's price."""
+    p = _fold_panel(spark, sf).where("target_t_plus_1 IS NOT NULL")
+    names = [*_measures(), *panel.target_lag_columns()]
+    x = F.array(*[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)) for c in names])
+    made = extra_trees.grow(p.select(x.alias("x"), F.col("target_t_plus_1").cast("double").alias("y")), len(names), 25, 2, 1, 42)
+    found = []
+    for tree in range(25):
+        left, right = (made.stats[made.left[tree] + i] for i in (0, 1))
+        found.append((tree, names[made.feature[tree]], float(made.cut[tree]), int(left[0]), int(right[0]), left[1] / left[0], right[1] / right[0]))
+    schema = "tree int, column_name string, cut double, n_left long, n_right long, mean_left double, mean_right double"
+    return st.rounded(spark.createDataFrame(found, schema), 3)
+
+
 # --- models --------------------------------------------------------------------------
 
 
@@ -435,6 +449,6 @@ QUERIES = [
     series_length, value_counts, nonnull_profile, corr_with_target, expanding_folds, reg_metrics,
     cls_accuracy, score_union, score_summary, best_model, majority_class, impute_median, impute_mode,
     one_hot, ordinal_encode, standardize, forecast_calendar, forecast_export, forecast_sink,
-    fold_statistics, fold_modes, elastic_net_folds, fit_regressors,
+    fold_statistics, fold_modes, elastic_net_folds, extra_trees_level, fit_regressors,
     fit_classifiers, evaluate_horizon, train_select, forecast_frame,
 ]

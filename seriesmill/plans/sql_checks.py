@@ -411,6 +411,20 @@ member AS (SELECT l.*, fold, role FROM labelled l JOIN fold f ON l.horizon = f.h
 FOLD_NUMBERS = [*MEASURES, *T_LAGS]
 FOLD_SOURCE = f"""src AS (SELECT date_id, region_id, rice_id, {", ".join(NUMBERS)},
   {", ".join(f"{e} AS {c}" for c, e in {**T_LAGS, **TARGETS}.items())} FROM monthly)"""
+
+
+def _mixed(e: str) -> str:
+    return f"(({e}) * ({e}) % 2147483647 + ({e}) * 48271 + 11) % 2147483647"
+
+
+TREE_CUTS = f"""long AS (SELECT target_t_plus_1 AS y, unnest({list(range(len(FOLD_NUMBERS)))}) AS f,
+  unnest([{", ".join(f"coalesce(CAST({c} AS DOUBLE), 0)" for c in FOLD_NUMBERS)}]) AS x FROM src WHERE target_t_plus_1 IS NOT NULL),
+span AS (SELECT f, min(x) AS lo, max(x) AS hi FROM long GROUP BY f),
+m1 AS (SELECT span.*, t, {_mixed("42 + t")} AS m FROM span, range(25) r(t)),
+m2 AS (SELECT * EXCLUDE m, {_mixed("m")} AS m FROM m1),
+m3 AS (SELECT * EXCLUDE m, {_mixed("m + f")} AS m FROM m2),
+m4 AS (SELECT * EXCLUDE m, {_mixed("m")} AS m FROM m3),
+cuts AS (SELECT t, f, lo + {_mixed("m")} / CAST(2147483647 AS DOUBLE) * (hi - lo) AS cut FROM m4)"""
 FOLD_TEXTS = f"""src AS (SELECT date_id, rice_id AS rice, CAST(region_id AS VARCHAR) AS region,
   CASE WHEN month(date_id) <> 3 THEN strftime(date_id, '%m') END AS month_text,
   {", ".join(f"{e} AS {c}" for c, e in DIRECTIONS.items())} FROM monthly)"""
@@ -560,6 +574,14 @@ long AS (SELECT horizon, fold, unnest(['rice', 'region', 'month_text']) AS colum
   FROM member WHERE role = 'train'),
 n AS (SELECT horizon, fold, column_name, text, count(*) AS n_rows FROM long WHERE text IS NOT NULL GROUP BY ALL)
 SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY horizon, fold, column_name ORDER BY n_rows DESC, text) = 1""",
+    "extra_trees_level": f"""WITH {TO_MONTHLY}, {FOLD_SOURCE}, {TREE_CUTS},
+sums AS (SELECT t, f, cut, count(*) AS n, sum(y) AS s, sum(y * y) AS q, count(*) FILTER (x <= cut) AS nl, sum(y) FILTER (x <= cut) AS sl
+  FROM cuts JOIN long USING (f) GROUP BY ALL),
+gains AS (SELECT *, sl * sl / nl + (s - sl) * (s - sl) / (n - nl) - s * s / n AS gain FROM sums WHERE nl >= 2 AND n - nl >= 2),
+best AS (SELECT *, max(gain) OVER (PARTITION BY t) AS most FROM gains)
+SELECT CAST(t AS INTEGER) AS tree, [{", ".join(f"'{c}'" for c in FOLD_NUMBERS)}][f + 1] AS column_name, {rnd("cut", 3)} AS cut, nl AS n_left, n - nl AS n_right,
+  {rnd("sl / nl", 3)} AS mean_left, {rnd("(s - sl) / (n - nl)", 3)} AS mean_right
+FROM best WHERE gain >= most - 1e-9 * q QUALIFY row_number() OVER (PARTITION BY t ORDER BY f) = 1""",
     "elastic_net_folds": f"""WITH {TO_MONTHLY}, {FOLD_SOURCE}, {_per_horizon("target_t_plus_")}
 SELECT horizon, fold, count(*) FILTER (role = 'train') AS train_rows, true AS optimal, count(*) FILTER (role = 'valid') AS valid_rows,
   {rnd("avg(y) FILTER (role = 'valid')", 3)} AS valid_mean FROM member GROUP BY ALL""",
