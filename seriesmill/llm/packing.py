@@ -185,7 +185,8 @@ def place(pieces: DataFrame, work: Work, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` (length, task, local_rank, ...) with ``sequence_id`` and ``offset``.
 
     The driver sees one row per length, at most ``capacity``. The plan's slots, a few per step,
-    are bounded by the same number and go to every task.
+    are bounded by the same number and go to every task. Ranks before a task are joined by (length, task), of which
+    no key holds more than one task's pieces.
     """
     per_task = work.settle(pieces.groupBy("length", "task").agg(F.count("*").alias("n")), "lengths")
     counts = np.zeros(capacity + 1, np.int64)
@@ -195,7 +196,8 @@ def place(pieces: DataFrame, work: Work, capacity: int = CAPACITY) -> DataFrame:
     shared = pieces.sparkSession.sparkContext.broadcast({k: table[k].to_numpy() for k in table})
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     base = work.settle(per_task.select("length", "task", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base")), "bases")
-    ranked = pieces.join(base, ["length", "task"]).withColumn("rank", F.col("base") + F.col("local_rank")).drop("base", "task", "local_rank")
+    # bases grow with the tasks: merged, never broadcast
+    ranked = pieces.join(base.hint("merge"), ["length", "task"]).withColumn("rank", F.col("base") + F.col("local_rank")).drop("base", "task", "local_rank")
     names = [*ranked.columns]
 
     def look_up(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
