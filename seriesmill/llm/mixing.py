@@ -178,10 +178,12 @@ def mix(
     sources = cells.groupBy("key").agg(F.first("source").alias("source"), F.sum(F.col("size") * F.col("n")).alias("source_size"))
     sources = work.settle(targets(sources, weights, share, most), "targets")
     lam = solve(cells, sources, work, most)
+    work.release()  # the driver holds the plans and tasks of all steps until they are collected
     tilt = F.least(F.exp(F.least(F.col("lam") * F.col("size"), F.lit(50.0))), F.lit(float(most)))
     rate = F.when(F.col("size") == 0, 0.0).when(F.col("capped"), float(most)).otherwise(tilt)
     rated = cells.select("key", "size", "n").join(sources.select("key", "capped"), "key").join(lam, "key", "left")
     copies = whole_copies(rated.withColumn("rate", F.coalesce(rate, F.lit(0.0))), sources, work, most)
+    work.release()
 
     # documents of one cell: the first extra ones by hash get one copy more than the others
     part = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(RANK_PARTS))

@@ -76,16 +76,16 @@ class _Sums:
 
     def __init__(self, counts: np.ndarray) -> None:
         self.counts = counts
-        lengths = np.flatnonzero(counts)
+        there = counts > 0
+        there[:1] = False
+        lengths = np.flatnonzero(there).astype(np.int32)
+        #: Per sum the larger lengths, longest first; made sum by sum, so that no table of all pairs is held.
         self.pairs: dict[int, np.ndarray] = {}
-        a, b = np.meshgrid(lengths, lengths, indexing="ij")
-        keep = (a >= b) & (a + b < len(counts))
-        a, total = a[keep], (a + b)[keep]
-        order = np.lexsort((-a, total))
-        a, total = a[order], total[order]
-        at = np.flatnonzero(np.diff(total, prepend=-1))
-        for start, stop in zip(at, [*at[1:], len(total)]):
-            self.pairs[int(total[start])] = a[start:stop]
+        for total in range(2, len(counts)):
+            larger = lengths[np.searchsorted(lengths, (total + 1) // 2) : np.searchsorted(lengths, total)][::-1]
+            larger = larger[there[total - larger]]
+            if len(larger):
+                self.pairs[total] = larger
 
     def _pair(self, total: int) -> tuple[int, int] | None:
         larger = self.pairs.get(total)

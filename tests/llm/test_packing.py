@@ -1,5 +1,6 @@
 """Packing: ids against the tokenizer itself, places without gaps, plans that use up every piece."""
 
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -89,3 +90,23 @@ def test_whole_sequences(spark, work):
 
 def test_empty_table(nothing, work):
     assert packing.pack(nothing, PATH, work).count() == 0
+
+
+def test_plan_holds_no_table_of_all_pairs():
+    # every length occurs: sums by brute force, and the driver's memory stays far below lengths x lengths numbers
+    counts = np.full(2_049, 3, np.int64)
+    counts[0] = 0
+    tracemalloc.start()
+    sums = packing._Sums(counts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2_048 * 2_048 * 4
+    some = np.zeros(60, np.int64)
+    some[[1, 2, 3, 7, 20, 29, 30, 59]] = 1
+    want = {}
+    for a in np.flatnonzero(some)[::-1].tolist():
+        for b in np.flatnonzero(some[: a + 1]).tolist():
+            if a + b < 60:
+                want.setdefault(a + b, []).append(a)
+    assert {t: a.tolist() for t, a in packing._Sums(some).pairs.items()} == want
+    assert len(sums.pairs) == 2_047

@@ -1,6 +1,7 @@
 """Quality classifier: held-out accuracy, no leak from held-out labels, defined results for odd input."""
 
 import numpy as np
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from conftest import odd_rows, prose
@@ -83,3 +84,29 @@ def test_query_knows_the_fold_of_every_row(spark, tmp_path):
     rows = queries.op5_quality(spark, str(tmp_path)).collect()
     assert len(rows) == docs.count() + 1 and all(r.held_out is not None for r in rows)
     assert [r.held_out for r in rows if r.doc_id is None] == [False]
+
+
+def test_driver_gets_each_sum_once(spark, work, monkeypatch):
+    # the sums of all tasks meet in tasks: what the driver fetches does not grow with the parts of the sample
+    frame = type(spark.range(0))
+    docs, labels = frames(spark)
+    fetched = []
+
+    def fetch(self, *a, get=frame.toLocalIterator, **b):
+        fetched.append([r.asDict() for r in get(self, *a, **b)])
+        return iter([Row(**r) for r in fetched[-1]])
+
+    monkeypatch.setattr(frame, "toLocalIterator", fetch)
+    monkeypatch.setattr(quality, "STRIP", 16, raising=False)
+    few = quality.fit(docs, labels, work)
+    monkeypatch.setattr(frame, "repartition", lambda self, n, *cols, deal=frame.repartition: deal(self, 40, *cols))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        many = quality.fit(docs, labels, work)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    size = len(few.vectors)
+    for rows in fetched:
+        assert sum(len(r["total"]) for r in rows) <= 8 * size * quality.DIM
+        assert sorted(r["first"] for r in rows) == sorted({r["first"] for r in rows})
+    assert few.known == many.known and (few.weights == many.weights).all()
