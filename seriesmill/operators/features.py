@@ -20,6 +20,8 @@ from seriesmill.operators.pages import with_position
 
 #: Parts into which a pass over the values cuts the range of a wanted rank.
 RANGES = 256
+#: Rows up to which the different values of a column are counted in one aggregate.
+FEW_ROWS = 16_384
 MAX_TEXTS = 10_000
 #: Columns per aggregate, so that generated code stays small.
 AGGREGATES = 100
@@ -35,9 +37,12 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | No
     Values are counted, never gathered: each pass cuts the range that holds a wanted rank into
     ``RANGES`` parts and keeps the part with the rank, as tight as its values are, until that part
     holds one value. A pass is an aggregate that combines before its shuffle and returns at most ``RANGES`` rows per
-    wanted rank, two of a column. Columns without any value give ``None``.
+    wanted rank, two of a column. Tables of at most ``FEW_ROWS`` rows take one pass, which counts the values
+    themselves. Columns without any value give ``None``.
     """
     names = list(columns)
+    if names and df.count() <= FEW_ROWS:
+        return _few_medians(df, names)
     extent = _ranges(df, [(c, None, None) for c in names])
     out: dict[str, float | None] = {}
     ends: dict[str, list[float]] = {c: [] for c in names}
@@ -65,6 +70,16 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | No
     return out | {c: (value[c, r[0]] + value[c, r[1]]) / 2 for c, r in ends.items() if r}
 
 
+def _few_medians(df: DataFrame, names: Sequence[str]) -> dict[str, float | None]:
+    """Exact medians from the counts of every value, a buffer per column; for tables of few rows."""
+    out: dict[str, float | None] = {c: None for c in names}
+    for at in range(0, len(names), AGGREGATES):
+        cells = [f"named_struct('i', {i}, 'v', CAST(`{c}` AS DOUBLE))" for i, c in enumerate(names[at : at + AGGREGATES], at)]
+        values = df.selectExpr(f"inline(array({', '.join(cells)}))").where("abs(v) < double('infinity')")
+        out |= {names[r["i"]]: r["m"] for r in values.groupBy("i").agg(F.expr("percentile(v, 0.5)").alias("m")).collect()}
+    return out
+
+
 def _ranges(df: DataFrame, brackets: Sequence[tuple]) -> dict[int, list[tuple]]:
     """Per bracket (column, low, high) the parts with values, in order: (part, values, smallest, largest)."""
     cells = []

@@ -19,7 +19,7 @@ from seriesmill import fixed
 from seriesmill.operators import features, folds, forecast, metrics, roles
 from seriesmill.operators.elastic_net import GramElasticNet
 from seriesmill.operators.extra_trees import ExtraTrees
-from seriesmill.session import settle
+from seriesmill.session import settle_compact
 from seriesmill.sources import bundles, files
 
 SCORE_SCHEMA = (
@@ -125,7 +125,8 @@ def evaluate_horizon(
     """Scores of every model on every fold of one horizon, both tasks.
 
     Classification folds with one class in the training or validation part are skipped. The
-    labelled matrix is written once to the shared folder, so no fit recomputes the panel.
+    labelled matrix is written to the shared folder, so no fit recomputes the panel, in as many parts
+    as its rows need, so the tasks of a fit do not grow with the tasks that made the panel.
     """
     scores = []
     for task in roles.TASKS:
@@ -136,7 +137,7 @@ def evaluate_horizon(
 
 def _score_task(panel, task, horizon, chosen: dict[str, Recipe], split: tuple) -> list[tuple]:
     r, label = roles.infer_roles(panel), roles.label_name(task, horizon)
-    matrix = settle(roles.training_matrix(panel, horizon, task, r), f"matrix-{task}-h{horizon}")
+    matrix = settle_compact(roles.training_matrix(panel, horizon, task, r), f"matrix-{task}-h{horizon}")
     split_months = folds.expanding_folds(matrix, r.date, *split)
     bounds = folds.fold_bounds(split_months)
     if task == "classification":
@@ -190,7 +191,7 @@ def train_best_models(
     and ``training_metadata`` (JSON) below ``model_dir``.
     """
     spark = panel.sparkSession
-    panel = settle(panel, "panel")
+    panel = settle_compact(panel, "panel")
     r = roles.infer_roles(panel)
     scores, selected = None, []
     for horizon in horizons:

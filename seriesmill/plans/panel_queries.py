@@ -11,7 +11,7 @@ from seriesmill.operators import (
     daily, elastic_net, extra_trees, features, fold_stats, folds, forecast, metrics, models, panel, profile, roles,
 )
 from seriesmill.plans import standins as st
-from seriesmill.session import fresh_dir, settle
+from seriesmill.session import fresh_dir, settle, settle_compact
 from seriesmill.sources import files, star
 
 SERIES = ["region_id", "rice_id"]
@@ -395,7 +395,7 @@ def _fit_scores(spark, sf, task: str) -> DataFrame:
     """Every model family fitted on all labelled months but the last six, scored on those."""
     p = _panel(spark, sf)
     r, label = roles.infer_roles(p), roles.label_name(task, 1)
-    matrix = settle(roles.training_matrix(p, 1, task, r), "fit")
+    matrix = settle_compact(roles.training_matrix(p, 1, task, r), "fit")
     cut = F.add_months(F.lit(matrix.agg(F.max("date_id")).first()[0]), -6)
     train, held = matrix.where(F.col("date_id") <= cut), matrix.where(F.col("date_id") > cut)
     out, learned = None, features.learn(train, r.numeric, r.categorical)
@@ -436,7 +436,7 @@ def train_select(spark, sf) -> DataFrame:
 
 
 def forecast_frame(spark, sf) -> DataFrame:
-    p = settle(_panel(spark, sf), "panel")
+    p = settle_compact(_panel(spark, sf), "panel")
     folder = fresh_dir(spark, "models")
     models.train_best_models(p, folder, [1, 2], SMALL, FEW, max_splits=1)
     return models.predict_latest(p, folder, [1, 2])

@@ -9,6 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from seriesmill import session
 from seriesmill.operators import features, folds, metrics, models, panel, roles
 from seriesmill.session import fresh_dir
 from seriesmill.sources import bundles
@@ -135,3 +136,46 @@ def test_every_family_fits_the_same_twice(spark, task):
         ]
         assert runs[0] == pytest.approx(runs[1]), name
     matrix.unpersist()
+
+
+def test_fits_start_a_task_per_part_of_rows(spark, monkeypatch):
+    # a panel made by many tasks costs the many jobs of a fit no more tasks than its rows need
+    made = small_panel(spark).repartition(24, "date_id")
+    spread = spark.read.parquet(_written(made))
+    assert spread.rdd.getNumPartitions() > 1
+    parts = []
+
+    def fit(train, *a, run=models.fit_model, **b):
+        parts.append(train.rdd.getNumPartitions())
+        return run(train, *a, **b)
+
+    monkeypatch.setattr(models, "fit_model", fit)
+    few = {"regression": ["elastic_net"], "classification": ["gradient_boosting_cls"]}
+    models.evaluate_horizon(spread, 1, min_train=12, valid=3, max_splits=1, settings=TINY, models=few)
+    assert parts and set(parts) == {1}
+
+
+def _written(df):
+    path = fresh_dir(df.sparkSession, "spread")
+    df.write.parquet(path)
+    return path
+
+
+def test_compact_keeps_rows_and_bounds_parts(spark, monkeypatch):
+    rows = spark.range(100).repartition(10)
+    one = session.settle_compact(rows, "compact")
+    assert one.rdd.getNumPartitions() == 1 and sorted(r.id for r in one.collect()) == list(range(100))
+    monkeypatch.setattr(session, "PART_ROWS", 30)
+    assert 1 < session.settle_compact(rows, "compact").rdd.getNumPartitions() <= 4
+    assert session.settle_compact(rows.where("id < 0"), "compact").count() == 0
+
+
+@pytest.mark.parametrize("few", [0, 16_384])
+def test_medians_of_few_and_many_rows_agree(spark, monkeypatch, few):
+    monkeypatch.setattr(features, "FEW_ROWS", few, raising=False)
+    odd = [float("nan"), float("inf"), -float("inf"), None, 0.1, 0.3, -7.0, 0.3, 1e9, 2.0]
+    df = spark.createDataFrame([(x, None, i, i % 2 == 0) for i, x in enumerate(odd)], "a double, b double, c int, d boolean")
+    assert features.exact_medians(df, ["a", "b", "c"]) == {"a": 0.3, "b": None, "c": 4.5}
+    assert features.exact_medians(df.where("c < 0"), ["a"]) == {"a": None}
+    wide = df.select(*[(F.col("c") + k).alias(f"x{k}") for k in range(130)])
+    assert features.exact_medians(wide, wide.columns) == {f"x{k}": 4.5 + k for k in range(130)}
