@@ -110,3 +110,30 @@ def test_plan_holds_no_table_of_all_pairs():
                 want.setdefault(a + b, []).append(a)
     assert {t: a.tolist() for t, a in packing._Sums(some).pairs.items()} == want
     assert len(sums.pairs) == 2_047
+
+
+@settings(max_examples=150, deadline=None)
+@given(
+    st.lists(
+        st.lists(st.sampled_from([" ", "  ", "\n", "\r\n", "\x1c", "\x85", "\xa0", "　", "a", "s", "'", "'s", "'re", "'LL", "1", "½", ",", "…", "’", "é", "日", "́", "word"])).map("".join),
+        max_size=6,
+    )
+)
+def test_cuts_between_classes_of_bytes_are_the_tokenizers(texts):
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in tokens.encode_all(texts, PATH)]
+    assert got == [WHOLE.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_pieces_are_few_whatever_marks_and_breaks_join_them(monkeypatch):
+    """Words, marks and line breaks are looked up apart, and texts with several spaces in a row take no way of their own."""
+    words = ["".join(chr(97 + (k // 26**d) % 26) for d in range(3)) for k in range(40)]
+    texts = [f"{a}{mark}\n{b}{mark}  {a} {b}{mark} " for a in words for b in words for mark in (",", ".", "?!", "…")]
+    learnt, whole, learn = [], [], tokens._learn
+    monkeypatch.setattr(tokens, "_learn", lambda state, pieces: learnt.extend(pieces) or learn(state, pieces))
+    state = tokens._load(PATH)
+    monkeypatch.setattr(state, "young", {})
+    monkeypatch.setattr(state, "old", {})
+    monkeypatch.setattr(state, "tokenizer", type("Counted", (), {"encode": lambda self, text, **kw: whole.append(text) or WHOLE.encode(text, **kw)})())
+    got = list(tokens.encode_all(texts, PATH))
+    assert not whole and len(learnt) < 1_000
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in got[::97]] == [WHOLE.encode(t, add_special_tokens=False).ids for t in texts[::97]]
