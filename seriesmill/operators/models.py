@@ -6,7 +6,8 @@ models and folds only and keeps nothing but scores.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, PipelineModel, Transformer
@@ -27,6 +28,8 @@ SCORE_SCHEMA = (
     "model_name string, fold int, accuracy double"
 )
 MAJORITY = "dummy_classifier"
+#: Saved models that are read at once.
+LOADS = 3
 
 
 @dataclass(frozen=True)
@@ -190,29 +193,51 @@ def train_best_models(
     Writes one bundle per task and horizon plus ``benchmark_scores``, ``selected_models`` (CSV)
     and ``training_metadata`` (JSON) below ``model_dir``.
     """
-    spark = panel.sparkSession
     panel = settle_compact(panel, "panel")
     r = roles.infer_roles(panel)
-    scores, selected = None, []
+    scores, winners = None, {}
     for horizon in horizons:
         found = evaluate_horizon(panel, horizon, settings=settings, models=models, **split)
         scores = found if scores is None else scores.unionByName(found)
-        winners = {w["task"]: w["model_name"] for w in
-                   metrics.best_models(metrics.score_summary(found)).collect()}
-        names, paths = {}, {}
-        for task in roles.TASKS:
-            label = roles.label_name(task, horizon)
-            matrix = roles.training_matrix(panel, horizon, task, r)
-            name = winners.get(task)
-            if task == "classification" and (name is None or not _two_classes(matrix, label)):
-                name = name or MAJORITY
-                model = majority_model(matrix, label)
-            else:
-                model = fit_model(matrix, recipes(task, settings)[name], r, label)
-            types = dict(matrix.dtypes)
-            bundle = bundles.Bundle(task, horizon, name, r.features, [types[c] for c in r.features], model)
-            names[task], paths[task] = name, bundles.save_bundle(spark, model_dir, bundle)
-        selected.append((horizon, *[names[t] for t in roles.TASKS], *[paths[t] for t in roles.TASKS]))
+        winners |= {(w["task"], horizon): w["model_name"] for w in
+                    metrics.best_models(metrics.score_summary(found)).collect()}
+
+    def refit(matrix: DataFrame, task: str, horizon: int, name: str) -> PipelineModel:
+        return fit_model(matrix, recipes(task, settings)[name], r, roles.label_name(task, horizon))
+
+    return save_best_models(panel, model_dir, scores, winners, horizons, refit)
+
+
+def save_best_models(
+    panel: DataFrame,
+    model_dir: str,
+    scores: DataFrame,
+    winners: dict[tuple[str, int], str],
+    horizons: Sequence[int],
+    refit: Callable[[DataFrame, str, int, str], PipelineModel],
+    at_once: int = 1,
+) -> tuple[DataFrame, DataFrame]:
+    """Write what ``train_best_models`` promises; ``refit`` fits a winner of (task, horizon) on all labelled rows, ``at_once`` of them side by side."""
+    spark, r = panel.sparkSession, roles.infer_roles(panel)
+
+    def save(cell: tuple[int, str]) -> tuple[str, str]:
+        horizon, task = cell
+        label = roles.label_name(task, horizon)
+        matrix = roles.training_matrix(panel, horizon, task, r)
+        name = winners.get((task, horizon))
+        if task == "classification" and (name is None or not _two_classes(matrix, label)):
+            name = name or MAJORITY
+            model = majority_model(matrix, label)
+        else:
+            model = refit(matrix, task, horizon, name)
+        types = dict(matrix.dtypes)
+        bundle = bundles.Bundle(task, horizon, name, r.features, [types[c] for c in r.features], model)
+        return name, bundles.save_bundle(spark, model_dir, bundle)
+
+    cells = [(h, t) for h in horizons for t in roles.TASKS]
+    with ThreadPoolExecutor(at_once) as pool:
+        saved = dict(zip(cells, pool.map(save, cells)))
+    selected = [(h, *[saved[h, t][i] for i in (0, 1) for t in roles.TASKS]) for h in horizons]
     chosen = spark.createDataFrame(
         selected,
         "horizon int, best_regression_model string, best_classification_model string, "
@@ -234,10 +259,13 @@ def predict_latest(
     spark: SparkSession = panel.sparkSession
     latest = panel.where("row_is_latest")
     out = None
+    cells = [(h, t) for h in horizons for t in roles.TASKS]
+    with ThreadPoolExecutor(LOADS) as pool:
+        loaded = dict(zip(cells, pool.map(lambda cell: bundles.load_bundle(spark, model_dir, *cell), cells)))
     for horizon in horizons:
         rows = forecast.horizon_rows(latest, [horizon])
         for task, column in (("regression", "predicted_price"), ("classification", "predicted_direction")):
-            bundle = bundles.load_bundle(spark, model_dir, horizon, task)
+            bundle = loaded[horizon, task]
             base = rows.columns
             missing = [c for c in bundle.feature_cols if c not in base]
             ready = rows.withColumns({c: F.lit(None).cast(bundle.dtypes[c]) for c in missing}) if missing else rows

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from seriesmill import fixed
 from seriesmill.functions import dates
 from seriesmill.operators import (
-    daily, elastic_net, extra_trees, features, fold_stats, folds, forecast, metrics, models, panel, profile, roles,
+    daily, elastic_net, extra_trees, features, fold_stats, folds, forecast, grid, metrics, models, panel, profile, roles,
 )
 from seriesmill.plans import standins as st
 from seriesmill.session import fresh_dir, settle, settle_compact
@@ -436,10 +436,11 @@ def train_select(spark, sf) -> DataFrame:
 
 
 def forecast_frame(spark, sf) -> DataFrame:
+    """Forecasts of all horizons by the best of all families over six folds, at the published sizes."""
     p = settle_compact(_panel(spark, sf), "panel")
     folder = fresh_dir(spark, "models")
-    models.train_best_models(p, folder, [1, 2], SMALL, FEW, max_splits=1)
-    return models.predict_latest(p, folder, [1, 2])
+    grid.train_best_models(p, folder)
+    return models.predict_latest(p, folder)
 
 
 QUERIES = [
