@@ -13,16 +13,17 @@ import json
 import sys
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.ml import Model, PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassificationModel, RandomForestClassifier
+from pyspark.ml import PipelineModel, Transformer
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.linalg import Vectors
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressionModel, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from seriesmill import fixed
@@ -38,7 +39,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 TASK_CELLS = 4_000_000
 #: Trees of a forest that a task grows, and trees that travel together.
 SHARE, TREES = 50, 10
-#: Models that are put together at once.
+#: Small jobs of the driver that run at once: fold bounds, and models that are put together.
 AT_ONCE = 3
 #: Families from the slowest, so that the last tasks to start are short.
 SLOWEST = ("random_forest", "extra_trees", "extra_trees_cls", "random_forest_cls")
@@ -286,49 +287,58 @@ class Grid:
 
 
 KINDS = {
-    "random_forest": (RandomForestRegressor, RandomForestRegressionModel),
-    "extra_trees": (RandomForestRegressor, RandomForestRegressionModel),
-    "gradient_boosting": (GBTRegressor, GBTRegressionModel),
-    "random_forest_cls": (RandomForestClassifier, RandomForestClassificationModel),
-    "extra_trees_cls": (RandomForestClassifier, RandomForestClassificationModel),
-    "gradient_boosting_cls": (GBTClassifier, GBTClassificationModel),
+    "random_forest": RandomForestRegressor,
+    "extra_trees": RandomForestRegressor,
+    "gradient_boosting": GBTRegressor,
+    "random_forest_cls": RandomForestClassifier,
+    "extra_trees_cls": RandomForestClassifier,
+    "gradient_boosting_cls": GBTClassifier,
 }
 
 
-def spark_model(nodes: DataFrame, name: str, s: models.ModelSettings, width: int) -> Model:
-    """A model of Spark with these nodes: one tree of the right form is fitted and written, then its parts are replaced."""
-    spark, (fit, load) = nodes.sparkSession, KINDS[name]
-    boosted = name.startswith("gradient_boosting")
-    trees = trees_of(name, asdict(s))
-    zeros = Vectors.sparse(width, [])
-    form = spark.createDataFrame([(zeros, 0.0), (zeros, 1.0)], ["features", "label"])
-    many = {"maxIter": 1, "stepSize": s.rate} if boosted else {"numTrees": 1}
-    path = fresh_dir(spark, "forest")
-    fit(maxDepth=0, seed=s.seed, **many).fit(form).save(path)
-    told = json.loads(spark.read.text(f"{path}/metadata").first()[0])
-    told["numTrees"] = trees
-    told["paramMap"] |= {"maxIter" if boosted else "numTrees": trees, "maxDepth": s.boost_depth if boosted else s.depth}
-    spark.createDataFrame([(json.dumps(told),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
-    tree = spark.read.parquet(f"{path}/treesMetadata")
-    schema, (_, said, _) = tree.schema, tree.first()
-    rows = [(i, said, s.rate if boosted and i else 1.0) for i in range(trees)]
-    spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/treesMetadata")
-    schema = spark.read.parquet(f"{path}/data").schema
-    split = F.struct("feature", "cut", F.lit(-1))
-    node = F.struct("id", "prediction", "impurity", "stats", "n", "gain", "left", "right", split).cast(schema["nodeData"].dataType)
-    nodes.select(F.col("tree").alias("treeID"), node.alias("nodeData")).write.mode("overwrite").parquet(f"{path}/data")
-    return load.load(path)
+class GrownPipeline:
+    """A pipeline that ends in trees, to be saved: its trees go from the shared folder into its files, and the driver never holds them."""
+
+    def __init__(self, prep: Sequence[Transformer], nodes: DataFrame, name: str, s: models.ModelSettings, width: int) -> None:
+        self.nodes, self.name, self.settings, self.boosted = nodes, name, s, name.startswith("gradient_boosting")
+        spark, zeros = nodes.sparkSession, Vectors.sparse(width, [])
+        form = spark.createDataFrame([(zeros, 0.0), (zeros, 1.0)], ["features", "label"])
+        many = {"maxIter": 1, "stepSize": s.rate} if self.boosted else {"numTrees": 1}
+        self.form = PipelineModel([*prep, KINDS[name](maxDepth=0, seed=s.seed, **many).fit(form)])
+
+    def write(self) -> GrownPipeline:
+        return self
+
+    def overwrite(self) -> GrownPipeline:
+        return self
+
+    def save(self, path: str) -> None:
+        """One tree of the right form is saved, then its parts are replaced."""
+        self.form.write().overwrite().save(path)
+        stages = self.form.stages
+        at = f"{path}/stages/{len(stages) - 1:0{len(str(len(stages)))}d}_{stages[-1].uid}"
+        spark, s, trees = self.nodes.sparkSession, self.settings, trees_of(self.name, asdict(self.settings))
+        told = json.loads(spark.read.text(f"{at}/metadata").first()[0])
+        told["numTrees"] = trees
+        told["paramMap"] |= {"maxIter": trees, "maxDepth": s.boost_depth} if self.boosted else {"numTrees": trees, "maxDepth": s.depth}
+        spark.createDataFrame([(json.dumps(told),)], "value string").coalesce(1).write.mode("overwrite").text(f"{at}/metadata")
+        tree = spark.read.parquet(f"{at}/treesMetadata")
+        schema, (_, said, _) = tree.schema, tree.first()
+        rows = [(i, said, s.rate if self.boosted and i else 1.0) for i in range(trees)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(f"{at}/treesMetadata")
+        schema = spark.read.parquet(f"{at}/data").schema
+        node = F.struct("id", "prediction", "impurity", "stats", "n", "gain", "left", "right", F.struct("feature", "cut", F.lit(-1)))
+        made = self.nodes.select(F.col("tree").alias("treeID"), node.cast(schema["nodeData"].dataType).alias("nodeData"))
+        made.write.mode("overwrite").parquet(f"{at}/data")
 
 
 def _bounds(panel: DataFrame, horizons: Sequence[int], split: tuple) -> dict[tuple[str, int], list[tuple]]:
-    out = {}
-    for task in roles.TASKS:
-        found = fold_stats.plan_folds(panel, task, horizons, *split).bounds
-        for h in horizons:
-            if h not in found:
-                raise ValueError("not enough months for a time split; lower min_train")
-            out[task, h] = found[h]
-    return out
+    cells = [(t, h) for t in roles.TASKS for h in horizons]
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        found = [*pool.map(lambda cell: fold_stats.plan_folds(panel, cell[0], [cell[1]], *split).bounds, cells)]
+    if not all(found):
+        raise ValueError("not enough months for a time split; lower min_train")
+    return {(t, h): bounds[h] for (t, h), bounds in zip(cells, found)}
 
 
 def evaluate(panel: DataFrame, grid: Grid, horizons: Sequence[int], families: dict[str, Sequence[str]] | None, split: tuple) -> list[tuple]:
@@ -372,7 +382,7 @@ def train_best_models(
     nodes = grid.nodes(cells) if cells else None
     numbers = {c[:2]: i for i, c in enumerate(cells)}
 
-    def refit(matrix: DataFrame, task: str, horizon: int, name: str) -> PipelineModel:
+    def refit(matrix: DataFrame, task: str, horizon: int, name: str) -> PipelineModel | GrownPipeline:
         label, recipe = roles.label_name(task, horizon), known[task][name]
         if (task, horizon) not in numbers:
             return models.fit_model(matrix, recipe, r, label)
@@ -381,6 +391,6 @@ def train_best_models(
         prep = features.preprocessing_stages(matrix, learned, recipe.encoding, recipe.scale)
         first = PipelineModel(prep).transform(matrix).select("features").first()
         own = nodes.where(F.col("cell") == numbers[task, horizon])
-        return PipelineModel([*prep, spark_model(own, name, settings, first["features"].size)])
+        return GrownPipeline(prep, own, name, settings, first["features"].size)
 
     return models.save_best_models(panel, model_dir, scores, winners, horizons, refit, AT_ONCE)

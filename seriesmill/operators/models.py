@@ -20,7 +20,7 @@ from seriesmill import fixed
 from seriesmill.operators import features, folds, forecast, metrics, roles
 from seriesmill.operators.elastic_net import GramElasticNet
 from seriesmill.operators.extra_trees import ExtraTrees
-from seriesmill.session import settle_compact
+from seriesmill.session import settle, settle_compact
 from seriesmill.sources import bundles, files
 
 SCORE_SCHEMA = (
@@ -28,8 +28,6 @@ SCORE_SCHEMA = (
     "model_name string, fold int, accuracy double"
 )
 MAJORITY = "dummy_classifier"
-#: Saved models that are read at once.
-LOADS = 3
 
 
 @dataclass(frozen=True)
@@ -255,21 +253,22 @@ def save_best_models(
 def predict_latest(
     panel: DataFrame, model_dir: str, horizons: Sequence[int] = fixed.HORIZONS
 ) -> DataFrame:
-    """Price and direction of every series for each horizon, from the saved models."""
+    """Price and direction of every series for each horizon, from the saved models.
+
+    The driver holds one model at a time: what it says is written to the shared folder before the next is loaded.
+    """
     spark: SparkSession = panel.sparkSession
     latest = panel.where("row_is_latest")
     out = None
-    cells = [(h, t) for h in horizons for t in roles.TASKS]
-    with ThreadPoolExecutor(LOADS) as pool:
-        loaded = dict(zip(cells, pool.map(lambda cell: bundles.load_bundle(spark, model_dir, *cell), cells)))
     for horizon in horizons:
         rows = forecast.horizon_rows(latest, [horizon])
         for task, column in (("regression", "predicted_price"), ("classification", "predicted_direction")):
-            bundle = loaded[horizon, task]
+            bundle = bundles.load_bundle(spark, model_dir, horizon, task)
             base = rows.columns
             missing = [c for c in bundle.feature_cols if c not in base]
             ready = rows.withColumns({c: F.lit(None).cast(bundle.dtypes[c]) for c in missing}) if missing else rows
-            rows = bundle.model.transform(ready).select(*base, F.col("prediction").alias(column))
+            rows = settle(bundle.model.transform(ready).select(*base, F.col("prediction").alias(column)), "predicted")
+            del bundle, ready
         part = forecast.finish(rows)
         out = part if out is None else out.unionByName(part)
     return out
